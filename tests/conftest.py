@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+DATA = "/root/testdata/sf0.001"
+
+
+def make_session() -> SparkSession:
+    session = (
+        SparkSession.builder.master("local[8]").appName("tapwise-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = make_session()
+    yield session
+    session.stop()
