@@ -15,7 +15,7 @@ from tapwise.plans.training import train
 from tapwise.schemas import CUSTOMER_SCHEMA, LABELLED_SCHEMA, MODEL_COLUMNS
 from tapwise.sources import derived
 from tapwise.sources.files import read_customers, read_labelled_transactions
-from tapwise.sources.folders import run_folder
+from tapwise.sources.folders import run_folder, written_once
 from tapwise.sources.tables import CardTables
 from tapwise.streaming.scoring import start_live_scoring
 from tapwise.streaming.sinks import write_to_files
@@ -162,20 +162,24 @@ def _model_rows(spark, folder):
     return _enriched(spark, folder).select("trans_num", *MODEL_COLUMNS, "is_fraud")
 
 
+def _written_model_rows(spark, folder):
+    return written_once(_model_rows(spark, folder), "model-rows")
+
+
 def _scaled_slots(transformed):
     names = [f"{n}_scaled" for n in NUMBERS]
     return features.vector_slots(transformed.select("trans_num", "features"), "features", names).drop("features")
 
 
 def feature_pipeline(spark, folder):
-    rows = _model_rows(spark, folder)
+    rows = _written_model_rows(spark, folder)
     features.check_label_bound(rows, ["category", "merchant"])
     return _scaled_slots(features.feature_pipeline(rows.schema, MODEL_COLUMNS).fit(rows).transform(rows))
 
 
 def saved_pipeline(spark, folder):
     """The feature pipeline once more, through save and load."""
-    rows = _model_rows(spark, folder)
+    rows = _written_model_rows(spark, folder)
     features.check_label_bound(rows, ["category", "merchant"])
     path = run_folder(spark, "pipeline")
     features.feature_pipeline(rows.schema, MODEL_COLUMNS).fit(rows).write().overwrite().save(path)
@@ -183,7 +187,7 @@ def saved_pipeline(spark, folder):
 
 
 def indexer_pipeline(spark, folder):
-    rows = _model_rows(spark, folder)
+    rows = _written_model_rows(spark, folder)
     features.check_label_bound(rows, ["category", "merchant"])
     fitted = features.indexer_pipeline(rows.schema, MODEL_COLUMNS).fit(rows)
     names = ["category_slot", "merchant_slot", "distance_slot", "amt_slot", "age_slot"]
@@ -203,7 +207,7 @@ def holdout_split(spark, folder):
 
 def kmeans_balance(spark, folder):
     """The balanced training set: all fraud rows and as many cluster centres."""
-    rows = _model_rows(spark, folder)
+    rows = _written_model_rows(spark, folder)
     train_rows, _ = model.holdout_split(rows, ROW_ID)
     vectors = features.feature_pipeline(train_rows.schema, NUMBERS).fit(rows).transform(train_rows)
     balanced = model.balanced_training_set(vectors.select("features", "is_fraud"))

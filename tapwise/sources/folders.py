@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +27,13 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     """Make `checkpoint()` usable where the session names no folder yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table written to the shared folder, for several passes over an expensive plan.
+
+    Unlike a cache it outlives its executors, and each pass reads only the columns it needs.
+    """
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
