@@ -1,0 +1,13 @@
+"""Partition counts."""
+
+from pyspark.sql import DataFrame
+
+
+def spread_over_cores(scan: DataFrame) -> DataFrame:
+    """A file scan with at least one partition per core.
+
+    Scans are cut by bytes, so a small file leaves cores idle in work bound by the processor. A large scan
+    has more partitions than the cluster has cores and is left as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

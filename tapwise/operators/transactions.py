@@ -82,7 +82,10 @@ def encode_messages(transactions: DataFrame, sent_at=None, zone: str | None = No
 
 
 def decode_messages(envelopes: DataFrame) -> DataFrame:
-    """Message fields and topic position; bad numbers become null, garbage an all-null row."""
-    fields = envelopes.withColumn("transaction", parse_message("value")).select(
-        "transaction.*", "partition", "offset")
+    """Message fields and topic position; bad numbers become null, garbage an all-null row.
+
+    The parsed struct is expanded by a generator, which filters on its fields are not pushed through:
+    as a plain column it would be parsed once more for the card filter of a later join.
+    """
+    fields = envelopes.select(F.inline_outer(F.array(parse_message("value"))), "partition", "offset")
     return fields.withColumns({c: F.col(c).try_cast("double") for c in WIRE_NUMBERS}).drop("first", "last")

@@ -6,6 +6,7 @@ Catalyst and AQE, which broadcast by table statistics and split skewed join part
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tapwise.operators.partitions import spread_over_cores
 from tapwise.operators.transactions import encode_messages, normalize_transactions
 
 
@@ -38,6 +39,10 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_over_cores(_table(spark, folder, "lineitem"))
+
+
 def _transactions(lines: DataFrame, spark: SparkSession, folder: str, *extra) -> DataFrame:
     order, line, part, supplier = map(F.col, ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     second = (order * 31 + line * 977) % 86400
@@ -69,7 +74,7 @@ def _transactions(lines: DataFrame, spark: SparkSession, folder: str, *extra) ->
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Raw labelled transactions in the input schema, date and time still apart as text."""
-    return _transactions(_table(spark, folder, "lineitem"), spark, folder)
+    return _transactions(_lines(spark, folder), spark, folder)
 
 
 def _envelopes(lines, spark, folder):
@@ -85,7 +90,7 @@ def _envelopes(lines, spark, folder):
 
 def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """Every transaction as a topic message, with the columns it was made from."""
-    return _envelopes(_table(spark, folder, "lineitem"), spark, folder)
+    return _envelopes(_lines(spark, folder), spark, folder)
 
 
 def envelope_stream(spark: SparkSession, folder: str) -> DataFrame:

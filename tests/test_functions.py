@@ -1,0 +1,73 @@
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapwise.functions import age_years, epoch_millis, event_time, haversine_km, parse_time, wall_clock
+
+
+def one(spark, expression, **values):
+    row = spark.createDataFrame([tuple(values.values()) or (0,)], list(values) or ["x"])
+    return row.select(expression.alias("out")).first().out
+
+
+def test_haversine_known_points(spark):
+    quarter = one(spark, haversine_km("a", "b", "c", "d"), a=0.0, b=0.0, c=0.0, d=90.0)
+    assert quarter == pytest.approx(6371 * math.pi / 2)
+    assert one(spark, haversine_km("a", "b", "c", "d"), a=40.0, b=-70.0, c=40.0, d=-70.0) == 0.0
+    # Paris to New York
+    far = one(spark, haversine_km("a", "b", "c", "d"), a=48.8566, b=2.3522, c=40.7128, d=-74.0060)
+    assert far == pytest.approx(5837, abs=5)
+
+
+def test_haversine_is_null_without_a_coordinate(spark):
+    assert one(spark, haversine_km(F.lit(None).cast("double"), F.lit(1.0), F.lit(1.0), F.lit(1.0))) is None
+
+
+@pytest.mark.parametrize("birth,as_of,years", [
+    ("2000-01-01", "2000-12-30", 0),   # 364 days
+    ("2000-01-01", "2000-12-31", 1),   # 365 days, before the birthday
+    ("1930-01-01", "2020-04-16", 90),
+    ("2020-04-17", "2020-04-16", 0),   # truncated towards zero
+])
+def test_age_counts_years_of_365_days(spark, birth, as_of, years):
+    assert one(spark, age_years(F.to_timestamp("b"), as_of), b=birth) == years
+
+
+def test_age_defaults_to_today(spark):
+    born = dt.date.today() - dt.timedelta(days=3650 + 5)
+    assert one(spark, age_years(F.to_timestamp("b")), b=str(born)) == 10
+
+
+def test_birth_day_depends_on_the_zone(spark):
+    born = F.to_timestamp("b")  # midnight in India is the evening before in UTC
+    assert one(spark, age_years(born, "1959-10-11"), b="1958-10-12T00:00:00.000+05:30") == 1
+    assert one(spark, age_years(born, "1959-10-11", "Asia/Kolkata"), b="1958-10-12T00:00:00.000+05:30") == 0
+
+
+def test_event_time(spark):
+    assert one(spark, event_time("d", "t"), d="2019-11-02T00:00:00.000Z", t="13:05:09") == dt.datetime(2019, 11, 2, 13, 5, 9)
+    assert one(spark, event_time("d", "t"), d="2019-12-30T00:00:00.000Z", t="00:00:00") == dt.datetime(2019, 12, 30)
+
+
+@pytest.mark.parametrize("date,time", [("2019-11-02T0", "25:00:00"), ("2019-13-02T0", "10:00:00"), ("x", "y"), ("2019-11-02T0", "10:00")])
+def test_bad_times_are_null(spark, date, time):
+    assert one(spark, event_time("d", "t"), d=date, t=time) is None
+
+
+def test_missing_parts_are_null(spark):
+    assert one(spark, event_time(F.lit(None).cast("string"), F.lit("10:00:00"))) is None
+    assert one(spark, event_time(F.lit("2019-11-02T0"), F.lit(None).cast("string"))) is None
+
+
+def test_text_time_of_a_zone(spark):
+    assert one(spark, parse_time("t", "Asia/Kolkata"), t="2020-01-01 05:30:00") == dt.datetime(2020, 1, 1)
+    assert one(spark, parse_time("t", "Asia/Kolkata"), t="nonsense") is None
+
+
+def test_wall_clock_and_millis(spark):
+    instant = F.to_timestamp(F.lit("2020-04-16T12:00:00.987Z"))
+    assert one(spark, wall_clock(instant)) == "2020-04-16 17:30:00"
+    assert one(spark, wall_clock(instant, "UTC")) == "2020-04-16 12:00:00"
+    assert one(spark, epoch_millis(instant)) == 1587038400987

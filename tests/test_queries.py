@@ -1,0 +1,33 @@
+import pytest
+
+import __spark_entry__ as entry_points
+from conftest import DATA
+from oracle_check import compare
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, DATA, name) is None
+
+
+def test_entry_returns_fraud_rows(spark):
+    rows = entry_points.entry(spark).collect()
+    assert rows and all(r.is_fraud == 1.0 for r in rows)
+
+
+def test_every_sql_has_a_query():
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_model_queries_cover_all_rows(spark):
+    split = entry_points.queries()["holdout_split"](spark, DATA)
+    scored = entry_points.queries()["rf_score"](spark, DATA)
+    assert scored.count() == split.filter("side = 'test'").count()
+    assert {r.prediction for r in scored.select("prediction").distinct().collect()} <= {0.0, 1.0}
+
+
+def test_streamed_scoring_stores_every_row(spark):
+    stored = entry_points.queries()["stream_split_sinks"](spark, DATA).select("trans_num", "is_fraud")
+    expected = entry_points.queries()["enrich_transactions"](spark, DATA)
+    assert stored.select("trans_num").distinct().count() == expected.select("trans_num").distinct().count()
+    assert stored.filter("is_fraud not in (0.0, 1.0)").count() == 0

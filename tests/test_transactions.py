@@ -1,0 +1,141 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapwise.operators.lookup import broadcast_bytes, lookup_join
+from tapwise.operators.transactions import (
+    decode_messages, encode_messages, enrich_transactions, fraud_only, labelled_union, non_fraud_only,
+    normalize_transactions, split_predictions,
+)
+from tapwise.schemas import CUSTOMER_SCHEMA, ENRICHED_COLUMNS, LABELLED_SCHEMA, MESSAGE_FIELDS, TRAINING_COLUMNS
+
+
+def raw(spark, *rows):
+    """Labelled transactions from (card, number, date, time, label)."""
+    return spark.createDataFrame(
+        [(card, "a", "b", num, date, time, 1, "food", "shop", 5.0, 41.0, -70.0, label)
+         for card, num, date, time, label in rows], LABELLED_SCHEMA)
+
+
+@pytest.fixture
+def customers(spark):
+    people = [("1", "Ann", "Lee"), ("2", "Bob", "Ray")]
+    return spark.createDataFrame(
+        [(c, f, l, "F", "s", "c", "s", "z", 40.0, -70.0, "j", None) for c, f, l in people], CUSTOMER_SCHEMA
+    ).withColumn("dob", F.to_timestamp(F.lit("1980-01-01")))
+
+
+def test_unknown_and_null_cards_drop(spark, customers):
+    rows = raw(spark, ("1", "x", "2020-01-01T0", "10:00:00", 0.0), ("9", "y", "2020-01-01T0", "10:00:00", 0.0),
+               (None, "z", "2020-01-01T0", "10:00:00", 1.0))
+    enriched = enrich_transactions(normalize_transactions(rows), customers, "2020-01-01")
+    assert enriched.columns == ENRICHED_COLUMNS
+    (only,) = enriched.collect()
+    assert (only.trans_num, only.distance, only.age) == ("x", 111.19, 40)
+
+
+def test_bad_time_keeps_the_row(spark):
+    (row,) = normalize_transactions(raw(spark, ("1", "x", None, "nope", 0.0))).collect()
+    assert row.trans_time is None and row.trans_num == "x"
+
+
+def test_null_label_is_in_neither_half(spark):
+    rows = raw(spark, ("1", "a", "d", "t", 0.0), ("1", "b", "d", "t", 1.0), ("1", "c", "d", "t", None))
+    assert [r.trans_num for r in fraud_only(rows).collect()] == ["b"]
+    assert [r.trans_num for r in non_fraud_only(rows).collect()] == ["a"]
+
+
+def test_split_predictions(spark):
+    scored = spark.createDataFrame([(1.0,), (0.0,), (2.0,), (None,)], "is_fraud double")
+    fraud, rest = split_predictions(scored)
+    assert [r[0] for r in fraud.collect()] == [1.0]
+    assert sorted(r[0] for r in rest.collect()) == [0.0, 2.0]
+
+
+def test_union_keeps_copies_and_matches_by_name(spark, customers):
+    enriched = enrich_transactions(
+        normalize_transactions(raw(spark, ("1", "x", "2020-01-01T0", "10:00:00", 1.0))), customers)
+    both = labelled_union(enriched.select(*reversed(enriched.columns)), enriched)
+    assert both.columns == TRAINING_COLUMNS and both.count() == 2
+
+
+def test_message_round_trip(spark):
+    row = spark.createDataFrame(
+        [("1", "Ann", 'Le"e', "t1", "2020-01-01 10:00:00", "food", "a,b", "12.50", "1.5", None)],
+        ", ".join(f"{f} string" for f in MESSAGE_FIELDS))
+    message = encode_messages(row).first().value
+    fields = json.loads(message)
+    assert list(fields) == [f for f in MESSAGE_FIELDS if f != "merch_long"]
+    assert all(isinstance(v, str) for v in fields.values())
+    sent = spark.createDataFrame([(bytearray(message.encode()), 3, 7)], "value binary, partition int, offset bigint")
+    back = decode_messages(sent).first()
+    assert (back.cc_num, back.trans_num, back.amt, back.merch_lat, back.merch_long, back.partition, back.offset) == (
+        "1", "t1", 12.5, 1.5, None, 3, 7)
+    assert "first" not in back.asDict() and "last" not in back.asDict()
+
+
+def test_sent_messages_carry_the_wall_clock(spark):
+    row = spark.range(1).selectExpr(*[f"'1' AS {f}" for f in MESSAGE_FIELDS])
+    sent = encode_messages(row, F.to_timestamp(F.lit("2020-04-16T12:00:00Z")), "Asia/Kolkata").first()
+    assert json.loads(sent.value)["trans_time"] == "2020-04-16 17:30:00"
+
+
+@pytest.mark.parametrize("text,amount", [
+    ('{"cc_num":"1","amt":"12.5"}', 12.5), ('{"cc_num":"1","amt":12.5}', 12.5),
+    ('{"cc_num":"1","amt":"x"}', None), ("garbage", None), (None, None),
+])
+def test_amounts_quoted_bare_and_bad(spark, text, amount):
+    value = None if text is None else bytearray(text.encode())
+    sent = spark.createDataFrame([(value, 0, 0)], "value binary, partition int, offset bigint")
+    (row,) = decode_messages(sent).collect()
+    assert row.amt == amount and row.cc_num == ("1" if text and text[0] == "{" else None)
+
+
+def test_messages_are_parsed_once_below_a_join(spark, customers):
+    sent = spark.createDataFrame([], "value binary, partition int, offset bigint")
+    joined = decode_messages(sent.repartition(2)).join(customers, "cc_num")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_measured_size_covers_text(spark):
+    rows = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "k string, n int")
+    assert 1000 < broadcast_bytes(rows) < 1200
+    assert broadcast_bytes(rows.filter("n = 9")) == 0
+    with pytest.raises(TypeError):
+        broadcast_bytes(rows.select(F.array("k").alias("a")))
+
+
+def test_lookup_broadcasts_only_within_the_limit(spark, customers):
+    facts = spark.range(10).select((F.col("id") % 1 + 1).cast("string").alias("cc_num"))
+    lookup = customers.select("cc_num", "first")
+    small = lookup_join(facts, lookup, "cc_num")
+    large = lookup_join(facts, lookup, "cc_num", broadcast_limit=10)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    assert small.count() == large.count() == 10
+
+
+def test_hot_card_is_split_in_the_shuffled_join(spark):
+    """A third of all rows on one card: AQE cuts its partition and repeats the customer row."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        card = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("string")
+        facts = spark.range(0, 300_000, 1, 8).select(card.alias("cc_num"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        lookup = spark.range(5000).select(F.col("id").cast("string").alias("cc_num"), F.col("id").alias("n"))
+        joined = lookup_join(facts, lookup, "cc_num", broadcast_limit=0)
+        rows = joined.groupBy().agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+        expected = facts.agg(F.count("*"), F.sum(F.col("cc_num").cast("long"))).first()
+        assert [tuple(r) for r in rows.collect()] == [tuple(expected)]
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
