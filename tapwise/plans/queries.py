@@ -63,7 +63,7 @@ def non_fraud_transactions(spark, folder):
 
 
 def labelled_union_query(spark, folder):
-    enriched = _enriched(spark, folder)
+    enriched = written_once(_enriched(spark, folder), "labelled-rows")
     return labelled_union(non_fraud_only(enriched), fraud_only(enriched), "trans_num")
 
 
@@ -85,7 +85,7 @@ def latest_per_key(spark, folder):
 
 def card_history(spark, folder):
     rows = _newest(spark, folder).select("cc_num", "trans_time", "trans_num", "amt")
-    return keyed.card_history(rows)
+    return keyed.card_history(written_once(rows, "newest-rows"))
 
 
 def offset_progress(spark, folder):
@@ -131,7 +131,7 @@ def category_index(spark, folder):
 
 
 def category_lookup(spark, folder):
-    rows = derived.transactions(spark, folder).select("trans_num", "merchant")
+    rows = written_once(derived.transactions(spark, folder).select("trans_num", "merchant"), "merchant-rows")
     return features.apply_category_index(rows, features.category_index(rows, "merchant"), "merchant")
 
 
@@ -198,11 +198,9 @@ def indexer_pipeline(spark, folder):
 # --- model ---
 
 def holdout_split(spark, folder):
-    """Rows and fraud rows on each side of the split."""
-    rows = derived.transactions(spark, folder).select("trans_num", "is_fraud")
-    train_rows, test_rows = model.holdout_split(rows, ROW_ID)
-    return train_rows.select("trans_num", F.lit("train").alias("side")).unionAll(
-        test_rows.select("trans_num", F.lit("test").alias("side")))
+    """Every row with its side of the split."""
+    side = F.when(model.on_train_side(ROW_ID), "train").otherwise("test")
+    return derived.transactions(spark, folder).select("trans_num", side.alias("side"))
 
 
 def kmeans_balance(spark, folder):
