@@ -117,6 +117,40 @@ def test_card_filter_reaches_the_scan(spark, tables):
     assert "EqualTo(cc_num,1)" in plan
 
 
+def test_a_repeated_load_leaves_no_old_half(spark, tables):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0), ("1", "b", 2, 1.0)), "l1")
+        tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0)), "l1")
+        assert numbers(tables.transactions()) == ["a"]
+        tables.truncate("transaction")
+        assert tables.transactions().count() == 0
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_a_hot_card_is_stored_by_several_tasks_newest_first(spark, tables):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        text, number = F.sha2(F.col("id").cast("string"), 256), F.col("id").cast("double")
+        many = spark.range(0, 30_000, 1, 8).select(
+            (F.col("id") % 1).cast("string").alias("cc_num"), text.alias("trans_num"),
+            F.timestamp_seconds((F.col("id") * 7919) % 1_000_003).alias("trans_time"), text.alias("category"),
+            text.alias("merchant"), *[number.alias(c) for c in ("amt", "merch_lat", "merch_long", "distance")],
+            F.lit(50).alias("age"), (number * 0).alias("is_fraud"))
+        tables.write_transactions(many, "l1")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    stored = tables._read("transaction").select("trans_time", F.input_file_name().alias("file")).collect()
+    files = {}
+    for r in stored:
+        files.setdefault(r.file, []).append(r.trans_time)
+    assert len(stored) == 30_000 and len(files) > 3
+    assert all(times == sorted(times, reverse=True) for times in files.values())
+
+
 def test_offsets_and_views(spark, tables):
     tables.write_offsets(spark.createDataFrame([(0, 5), (1, 3)], "partition int, offset bigint"), "l1")
     tables.write_offsets(spark.createDataFrame([(0, 9)], "partition int, offset bigint"), "l2")
