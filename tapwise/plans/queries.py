@@ -163,7 +163,7 @@ def _model_rows(spark, folder):
 
 
 def _written_model_rows(spark, folder):
-    return written_once(_model_rows(spark, folder), "model-rows")
+    return written_once(_model_rows(spark, folder), "model-rows", "is_fraud")
 
 
 def _scaled_slots(transformed):

@@ -58,8 +58,9 @@ def _transactions(lines: DataFrame, spark: SparkSession, folder: str, *extra) ->
             F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("first"),
             F.col("o_orderpriority").alias("last"),
             F.concat_ws("-", *[c.cast("string") for c in (order, line, part, supplier)]).alias("trans_num"),
-            F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00.000")).alias("trans_date"),
-            F.date_format(F.timestamp_seconds(second), "HH:mm:ss").alias("trans_time"),
+            F.concat(F.to_date("l_shipdate").cast("string"), F.lit("T00:00:00.000")).alias("trans_date"),
+            F.concat_ws(":", *[F.lpad(F.floor(unit).cast("string"), 2, "0") for unit in (
+                second / 3600, second % 3600 / 60, second % 60)]).alias("trans_time"),
             (F.unix_date(F.to_date("l_shipdate")).cast("bigint") * 86400 + second).alias("unix_time"),
             F.col("p_type").alias("category"),
             F.col("s_name").alias("merchant"),

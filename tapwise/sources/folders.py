@@ -29,11 +29,12 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def written_once(df: DataFrame, name: str) -> DataFrame:
+def written_once(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     """`df` as a table written to the shared folder, for several passes over an expensive plan.
 
-    Unlike a cache it outlives its executors, and each pass reads only the columns it needs.
+    Unlike a cache it outlives its executors, and each pass reads only the columns, and the given
+    partitions, that it needs. The folder is left to the cluster's own clean-up.
     """
     path = run_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
