@@ -207,8 +207,9 @@ def kmeans_balance(spark, folder):
     """The balanced training set: all fraud rows and as many cluster centres."""
     rows = _written_model_rows(spark, folder)
     train_rows, _ = model.holdout_split(rows, ROW_ID)
-    vectors = features.feature_pipeline(train_rows.schema, NUMBERS).fit(rows).transform(train_rows)
-    balanced = model.balanced_training_set(vectors.select("features", "is_fraud"))
+    fitted = features.feature_pipeline(rows.schema, NUMBERS).fit(rows)
+    balanced = model.balanced_training_set(
+        fitted.transform(fraud_only(train_rows)), fitted.transform(non_fraud_only(train_rows)))
     return features.vector_slots(balanced, "features", [f"{n}_scaled" for n in NUMBERS]).drop("features")
 
 
