@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapwise.llm import language, packing, token_files
+from tapwise.llm import language, ngram_join, packing, token_files, url_filter
 from tapwise.sources.folders import run_folder
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -17,6 +17,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# fixed values: the rules of the contract as host, path, verdict
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+LISTED_LABELS = ("cheap-pills", "spam-farm")  # host labels whose pages make the list of blocked URLs
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    host = url_filter.url_host(F.col("url"))
+    on_list = F.arrays_overlap(F.split(host, "[.]"), F.array(*[F.lit(x) for x in LISTED_LABELS]))
+    listed = pages.filter(on_list).select(url_filter.canonical_url(F.col("url")).alias("url"))
+    return url_filter.judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def link_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link_components(_table(spark, folder, "documents"), words=3, percent=90)
+
+
 def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_along_curve(_table(spark, folder, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -43,9 +61,47 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": url_verdicts,
+    "op4_ngram_join": link_documents,
     "op2_pack_curve": pack_documents,
     "op8_token_files": token_file_digest,
     "op10_language_id": language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_url_filter": r"""
+        WITH cut AS (
+            SELECT page_id,
+                   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id, rest,
+                   coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                   list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1), '&'),
+                       lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_.*|ref=.*)'))) AS fields
+            FROM cut),
+        urls AS (
+            SELECT page_id, host, path,
+                   CASE WHEN rest IS NOT NULL THEN
+                       regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '/+$', '')
+                       || CASE WHEN len(fields) > 0 THEN '?' || array_to_string(fields, '&') ELSE '' END
+                   END AS canonical,
+                   CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net'))
+                             AND starts_with(path, '/en/') THEN 'example.net/en/'
+                        WHEN (host = 'example.com' OR ends_with(host, '.example.com'))
+                             AND starts_with(path, '/de/') THEN 'example.com/de/'
+                        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+                   END AS rule
+            FROM parts),
+        listed AS (
+            SELECT DISTINCT canonical FROM urls
+            WHERE canonical IS NOT NULL
+              AND list_has_any(string_split(host, '.'), ['cheap-pills', 'spam-farm']))
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+        FROM urls""",
+}
