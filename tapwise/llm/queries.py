@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapwise.llm import language, ngram_join, packing, token_files, url_filter
+from tapwise.llm import decontaminate, language, line_templates, ngram_join, packing, token_files, url_filter
 from tapwise.sources.folders import run_folder
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -35,6 +35,14 @@ def link_documents(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, folder, "documents"), words=3, percent=90)
 
 
+def drop_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(_table(spark, folder, "documents"))
+
+
+def flag_contaminated(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.flag_contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack_along_curve(_table(spark, folder, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -64,6 +72,8 @@ QUERIES = {
     "op1_url_filter": url_verdicts,
     "op4_ngram_join": link_documents,
     "op2_pack_curve": pack_documents,
+    "op5_line_templates": drop_recurring_lines,
+    "op6_decontaminate": flag_contaminated,
     "op8_token_files": token_file_digest,
     "op10_language_id": language_id,
 }
