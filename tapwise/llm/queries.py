@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapwise.llm import decontaminate, language, line_templates, ngram_join, packing, token_files, url_filter
+from tapwise.llm import (
+    decontaminate, language, line_templates, ngram_join, packing, quality, quotes, token_files, url_filter,
+)
 from tapwise.sources.folders import run_folder
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -35,6 +37,14 @@ def link_documents(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link_components(_table(spark, folder, "documents"), words=3, percent=90)
 
 
+def score_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(_table(spark, folder, "documents"))
+
+
+def order_replies(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.order_replies(_table(spark, folder, "conversations"))
+
+
 def drop_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring_lines(_table(spark, folder, "documents"))
 
@@ -70,10 +80,12 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": url_verdicts,
+    "op3_quality": score_quality,
     "op4_ngram_join": link_documents,
     "op2_pack_curve": pack_documents,
     "op5_line_templates": drop_recurring_lines,
     "op6_decontaminate": flag_contaminated,
+    "op7_reply_order": order_replies,
     "op8_token_files": token_file_digest,
     "op10_language_id": language_id,
 }

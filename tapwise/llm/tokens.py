@@ -6,46 +6,65 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 300_000
 
-_pieces = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_pieces = re.compile(rf" ?[{_LETTERS}]+(?![^ \n.,])|\n(?=\S)|[ \n]*[^ \n]+|[ \n]+").findall
+_one_word = re.compile(rf" ?[{_LETTERS}]+|[.,]+").fullmatch
 _other_space = re.compile(r"[^\S \n]").search
+_PROBE = "A sonda, été.\nZwei  Wörter\n\n 12,5!"
 
 
-class PieceEncoder:
-    """Encodes texts piece by piece.
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself where it prints, else one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in prints]
+    return {b: chr(b) if b in prints else chr(256 + hidden.index(b)) for b in range(256)}
 
-    A byte-level tokenizer never joins a word to the white space behind it, so a text may be cut before each
-    run of spaces and newlines and the pieces encoded apart. Words repeat, so their ids are kept in a memory of
-    at most `memory` pieces. Texts with other white space, whose runs the tokenizer cuts differently, go through
-    the tokenizer whole. Null is the empty text.
+
+class PieceEncoder(dict):
+    """Encodes texts piece by piece; the dict holds the packed ids of pieces met before.
+
+    A byte-level tokenizer never joins a word to the white space behind it, nor a letter to the stop or comma
+    behind it, so a text may be cut there and the pieces encoded apart. Words repeat, so at most `memory` pieces
+    are remembered. Texts with white space other than spaces and newlines, whose runs the tokenizer cuts
+    differently, go through the tokenizer whole. Null is the empty text.
     """
 
     def __init__(self, path: str, memory: int = MEMORY_PIECES):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memory, self._known = memory, {}
+        self.memory, self._letters = memory, _byte_letters()
+        if self.encode(_PROBE) != self._whole(_PROBE):
+            raise ValueError(f"{path} is no byte-level tokenizer whose words may be encoded apart")
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.type).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        results = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(r.ids, self.type).tobytes() for r in results]
+    def __missing__(self, piece: str) -> bytes:
+        if _one_word(piece):  # a single unit of the vocabulary: nothing is left to cut
+            letters = piece.encode().decode("latin-1").translate(self._letters)
+            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+        else:
+            ids = self._whole(piece)
+        if len(self) >= self.memory:
+            self.clear()
+        self[piece] = ids
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as packed integers of `self.type`."""
         if not text:
             return b""
         if _other_space(text):
-            return self._packed([text])[0]
-        pieces = _pieces(text)
-        missing = [p for p in set(pieces) if p not in self._known]
-        if missing:
-            if len(self._known) + len(missing) > self.memory:
-                self._known.clear()
-                missing = list(set(pieces))
-            self._known.update(zip(missing, self._packed(missing)))
-        return b"".join(map(self._known.__getitem__, pieces))
+            return self._whole(text)
+        return b"".join(map(self.__getitem__, _pieces(text)))
 
 
 _encoders: dict[str, PieceEncoder] = {}
