@@ -44,6 +44,7 @@ def labels_of(text: str | None) -> list[int]:
     letters = kinds[_LETTER] + kinds[_UPPER]
     mean = seen / words
     ends = kinds[_STOP] / words
+    hashes, _ = word_hashes(text)
     return [
         _between(1 - letters / seen, 0.12, 0.3),
         _between(kinds[_SYMBOL] / words, 0.02, 0.3),
@@ -52,10 +53,12 @@ def labels_of(text: str | None) -> list[int]:
         _between(ends, 0.25, 0.5) if words >= 20 else ABSTAIN,
         _between(1 - len(set(lines)) / len(lines), 0.1, 0.4) if len(lines) >= 5 else ABSTAIN,
         _between(text.count("|") / words, 0.0, 0.1),
+        _between(float(np.mean(hashes[1:] == hashes[:-1])), 0.05, 0.25) if words >= 10 else ABSTAIN,
     ]
 
 
-LABELLERS = ("letters", "symbols", "capitals", "word_length", "sentence_ends", "repeated_lines", "tables")
+LABELLERS = ("letters", "symbols", "capitals", "word_length", "sentence_ends", "repeated_lines", "tables",
+             "repeated_words")
 
 
 def estimate_accuracies(patterns: dict[int, int]) -> tuple[float, np.ndarray, dict[int, float]]:
@@ -128,7 +131,7 @@ def score_quality(documents: DataFrame, keep_from: float = 0.5) -> DataFrame:
     of good quality, `score` the linear scorer's, and `keep` says that their mean reaches `keep_from`. Null, empty
     and blank texts get the vote of the first labeller alone and the scorer's bias.
 
-    Votes of all documents are counted by pattern, of which there are 3 ** 7, before anything reaches the driver.
+    Votes of all documents are counted by pattern, of which there are 3 ** 8, before anything reaches the driver.
     The scorer is fitted on at most SAMPLE_DOCUMENTS documents chosen by a hash of the text, with their posterior
     labels; everything else covers all rows. Scoring is one pass without shuffle.
     """

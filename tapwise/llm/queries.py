@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapwise.llm import (
-    decontaminate, language, line_templates, ngram_join, packing, quality, quotes, token_files, url_filter,
+    decontaminate, language, line_templates, neighbours, ngram_join, packing, quality, quotes, token_files, url_filter,
 )
 from tapwise.sources.folders import run_folder
 
@@ -45,6 +45,10 @@ def order_replies(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.order_replies(_table(spark, folder, "conversations"))
 
 
+def nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"))
+
+
 def drop_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_templates.drop_recurring_lines(_table(spark, folder, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES = {
     "op6_decontaminate": flag_contaminated,
     "op7_reply_order": order_replies,
     "op8_token_files": token_file_digest,
+    "op9_nn_descent": nearest_neighbours,
     "op10_language_id": language_id,
 }
 
