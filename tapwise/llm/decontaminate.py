@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapwise.llm.keys import KEY, with_key
+from tapwise.llm.keys import KEY, key_columns, with_key
 from tapwise.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
 from tapwise.sources.folders import written_once
 
@@ -88,3 +88,12 @@ def flag_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     return lookup_join(with_key(documents).drop("text"), flagged, KEY, "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"), "item_id", "matched")
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, all columns kept, that hold no benchmark passage."""
+    flagged = written_once(contaminated_keys(documents, benchmark), "contaminated").select(
+        *KEY, F.lit(True).alias("_flagged"))
+    row = F.struct(*documents.columns).alias("_row")
+    return lookup_join(documents.select(row, *key_columns()), flagged, KEY, "left").filter(
+        F.col("_flagged").isNull()).select("_row.*")

@@ -18,6 +18,7 @@ LONGEST_SAMPLE = 20_000  # labelled documents above this many characters are not
 SEGMENT = 256  # symbols parsed in one lane; a phrase ends with its segment
 ALPHABET = 64
 GAP, UNKNOWN, PAD = 0, ALPHABET - 2, ALPHABET - 1
+MOST_BITS = 12.0  # a symbol; a text that needs more is in none of the languages
 SOFTNESS = 0.05  # share of the bits between two languages that counts as evidence in the score
 
 
@@ -177,3 +178,15 @@ def identify_languages(documents: DataFrame, samples: dict[str, str]) -> DataFra
     schema = documents.select(*kept).schema.add("lang_pred", "string").add("score", "double").add(
         "phrase_bits", "double")
     return documents.select(*kept).mapInArrow(predict, schema)
+
+
+def in_known_language(documents: DataFrame, samples: dict[str, str], most_bits: float = MOST_BITS) -> DataFrame:
+    """The documents, all columns kept, that one of the learned languages explains.
+
+    Rejected are `und` texts and those that need `most_bits` a symbol or more under the best language, which is a
+    phrase for nearly every letter.
+    """
+    others = F.struct(*[c for c in documents.columns if c != "text"]).alias("_row")
+    found = identify_languages(documents.select("text", others), samples)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("phrase_bits") < most_bits)).select(
+        *[F.col(c) if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns])

@@ -7,7 +7,7 @@ fields too. Lines of a template that recurs across documents are dropped but for
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tapwise.llm.keys import KEY, with_key
+from tapwise.llm.keys import KEY, key_columns, with_key
 from tapwise.operators.lookup import lookup_join
 from tapwise.sources.folders import written_once
 
@@ -106,22 +106,27 @@ def recurring_lines(documents: DataFrame) -> DataFrame:
     return same.union(other).groupBy(*KEY).agg(F.collect_set("template").alias("templates"))
 
 
-def drop_recurring_lines(documents: DataFrame) -> DataFrame:
-    """Every document as (doc_id, text, n_lines, n_dropped), without the lines of recurring templates.
+def without_recurring_lines(documents: DataFrame) -> DataFrame:
+    """The documents, all columns kept, without the lines of recurring templates, with n_lines and n_dropped.
 
     Lines are cut at newlines; those below MIN_TOKENS tokens stay. A template recurs in MIN_DOCUMENTS documents or
     more; its lines stay in the first of them, the one with the smallest doc_id (null ids last, then by key), and
     are dropped everywhere else. A line that a document repeats is judged once: all its copies stay or go. Rows
     equal in doc_id and text are treated alike. A null text stays null and has no lines; an empty text has one.
+    Columns named n_lines or n_dropped are replaced; other names may be anything without a leading underscore.
     """
-    keyed = with_key(documents)
     drops = written_once(recurring_lines(documents), "dropped-lines")
     lines, gone = F.split("text", "\n"), F.col("templates")
     kept = F.filter(lines, lambda line: ~F.array_contains(gone, _template(_masked(line))))
-    joined = keyed.join(drops, KEY, "left").select(
-        "doc_id", "text", F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
-        F.when(gone.isNotNull(), kept).alias("_kept"))
-    return joined.select(
-        "doc_id", F.coalesce(F.array_join("_kept", "\n"), "text").alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"),
-        F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).alias("n_dropped"))
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    row = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
+    joined = documents.select(F.struct(*row).alias("_row"), "text", *key_columns()).join(drops, KEY, "left").select(
+        "_row", "text", count.alias("n_lines"), F.when(gone.isNotNull(), kept).alias("_kept"))
+    values = [F.coalesce(F.array_join("_kept", "\n"), "text").alias("text") if c == "text" else F.col(f"_row.`{c}`")
+              for c in row]
+    return joined.select(*values, "n_lines", F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).alias("n_dropped"))
+
+
+def drop_recurring_lines(documents: DataFrame) -> DataFrame:
+    """Every document as (doc_id, text, n_lines, n_dropped); see `without_recurring_lines`."""
+    return without_recurring_lines(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapwise.llm.components import connected_components
+from tapwise.llm.keys import KEY, key_columns, with_key
 from tapwise.llm.shingles import mix, shingle_set
 from tapwise.sources.folders import run_folder, written_once
 
@@ -28,7 +29,7 @@ def _node(grams: np.ndarray) -> bytes:
 
 
 def _sets(documents: DataFrame, words: int) -> DataFrame:
-    """Members (doc_id, node, n_shingles) with, in some rows, the n-grams frequent among those counted together."""
+    """Members (doc_id, key, node, n_shingles) with, in some rows, the n-grams frequent among those counted together."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, room, seen = [], 0, set()
@@ -45,10 +46,10 @@ def _sets(documents: DataFrame, words: int) -> DataFrame:
         def batch_of(ids, nodes, sizes, found) -> pa.RecordBatch:
             empty = [[]] * max(len(nodes) - 1, 0)
             return pa.RecordBatch.from_arrays([
-                ids, pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
+                *ids, pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.array([found[0], *empty], pa.list_(pa.int64())),
                 pa.array([found[1], *empty], pa.list_(pa.int64()))],
-                ["doc_id", "node", "n_shingles", "common", "counts"])
+                ["doc_id", *KEY, "node", "n_shingles", "common", "counts"])
 
         for batch in batches:
             nodes, sizes, at = [], [], 0
@@ -61,16 +62,16 @@ def _sets(documents: DataFrame, words: int) -> DataFrame:
                     held.append(grams)
                     room += len(grams)
                 if room >= LOCAL_NGRAMS:
-                    ids = batch.column("doc_id").slice(at, len(nodes))
+                    ids = [batch.column(n).slice(at, len(nodes)) for n in ("doc_id", *KEY)]
                     yield batch_of(ids, nodes, sizes, common(False))
                     at, nodes, sizes = at + len(nodes), [], []
             if nodes:
-                yield batch_of(batch.column("doc_id").slice(at), nodes, sizes, ([], []))
+                yield batch_of([batch.column(n).slice(at) for n in ("doc_id", *KEY)], nodes, sizes, ([], []))
         found = common(True)
         if found[0]:  # a row without document
-            yield batch_of(pa.array([None], pa.int64()), [None], [-1], found)
+            yield batch_of([pa.array([None], pa.int64())] * 3, [None], [-1], found)
 
-    schema = "doc_id long, node binary, n_shingles long, common array<long>, counts array<long>"
+    schema = "doc_id long, _key long, _text_key long, node binary, n_shingles long, common array<long>, counts array<long>"
     return documents.mapInArrow(rows, schema)
 
 
@@ -143,14 +144,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def link_components(documents: DataFrame, words: int = 5, percent: int = 80,
-                    pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """Component of every (doc_id, text) row under 100 * intersection >= percent * union of its n-gram sets.
-
-    Returns doc_id, n_shingles and component_id, the smallest doc_id reachable by links. Words are runs of
-    characters other than ASCII white space, A-Z lower-cased. A text with fewer words is one n-gram; null, empty
-    and blank texts have none and link with nothing. Rows of equal doc_id are documents of their own; null ids
-    stay null and take the smallest other id of their component, if any.
+def _grouped(documents: DataFrame, words: int, percent: int, pivot_rounds: int) -> DataFrame:
+    """Rows (doc_id, key, n_shingles, label, component_id) of all documents; see `link_components`.
 
     Equal sets are one node, so exact copies are never paired. In each pivot round the n-grams that still join
     different components compare one document, the one with most shared n-grams and later a hashed choice, with
@@ -158,9 +153,9 @@ def link_components(documents: DataFrame, words: int = 5, percent: int = 80,
     left between components are all compared, so no link that matters to a component is lost.
     """
     spark = documents.sparkSession
-    columns = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    columns = with_key(documents)
     sets = written_once(_sets(columns, words), "members")
-    members = sets.filter("n_shingles >= 0").select("doc_id", "node", "n_shingles")
+    members = sets.filter("n_shingles >= 0").select("doc_id", *KEY, "node", "n_shingles")
 
     leading = _leading(columns, words, percent, _most_common(sets)).dropDuplicates(["node"])
     entries = written_once(leading, "leading").select("node", "n", F.posexplode("grams").alias("at", "gram"))
@@ -224,8 +219,36 @@ def link_components(documents: DataFrame, words: int = 5, percent: int = 80,
 
     grouped = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    by_node = grouped.select("node", "label").join(smallest, "label").select("node", "component_id")
+    by_node = grouped.select("node", "label").join(smallest, "label")
     linked = members.filter(F.col("node").isNotNull()).join(by_node, "node")
-    alone = members.filter(F.col("node").isNull()).withColumn("component_id", F.col("doc_id"))
-    return linked.select("doc_id", "n_shingles", "component_id").union(
-        alone.select("doc_id", "n_shingles", "component_id"))
+    alone = members.filter(F.col("node").isNull()).withColumns({
+        "label": F.lit(None).cast("binary"), "component_id": F.col("doc_id")})
+    columns = ["doc_id", *KEY, "n_shingles", "label", "component_id"]
+    return linked.select(*columns).union(alone.select(*columns))
+
+
+def link_components(documents: DataFrame, words: int = 5, percent: int = 80,
+                    pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
+    """Component of every (doc_id, text) row under 100 * intersection >= percent * union of its n-gram sets.
+
+    Returns doc_id, n_shingles and component_id, the smallest doc_id reachable by links. Words are runs of
+    characters other than ASCII white space, A-Z lower-cased. A text with fewer words is one n-gram; null, empty
+    and blank texts have none and link with nothing. Rows of equal doc_id are documents of their own; null ids
+    stay null and take the smallest other id of their component, if any.
+    """
+    return _grouped(documents, words, percent, pivot_rounds).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component with all its columns: the one with the smallest doc_id (null ids last).
+
+    Ties go by key, that is by text. Of rows equal in doc_id and text one stays. Documents without words are
+    alone, so all different ones stay.
+    """
+    rows = _grouped(documents, words, percent, PIVOT_ROUNDS)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)
+    chosen = rows.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min(place).alias("p")).select("p.*")
+    alone = rows.filter(F.col("label").isNull())
+    keys = written_once(chosen.select(*KEY).union(alone.select(*KEY)).distinct(), "kept-keys")
+    row = F.struct(*documents.columns).alias("_row")
+    return documents.select(row, *key_columns()).join(keys, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")
