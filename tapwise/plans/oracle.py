@@ -92,12 +92,18 @@ def _scaled(column, table):
             f" / (SELECT stddev_samp({column}) FROM {table}), 4) + 0.0 AS {column}_scaled")
 
 
+_ON_TRAIN_SIDE = "CAST('0x' || substr(md5('42|' || trans_num), 1, 8) AS BIGINT) < 3435973836"
+
 _ENRICH = _with(_CUSTOMERS, _TRANSACTIONS, _ENRICHED)
 _SCALED_ROWS = (f"{_ENRICH} SELECT trans_num, {_scaled('distance', 'enriched')}, {_scaled('amt', 'enriched')},"
                 f" {_scaled('age', 'enriched')} FROM enriched")
 _STREAMED = (
     'SELECT cc_num, trans_num, trans_time, category, merchant, CAST(amt AS DOUBLE) AS amt,'
     ' CAST(merch_lat AS DOUBLE) AS merch_lat, CAST(merch_long AS DOUBLE) AS merch_long, "partition", "offset"')
+_LIVE = (
+    f"{_ENRICH}, {_MESSAGES}, streamed AS ({_STREAMED.replace('trans_time,', 'CAST(trans_time AS TIMESTAMP) AS trans_time,', 1)}"
+    f" FROM message), live AS (SELECT streamed.*, round({_distance()}, 2) AS distance, {_AGE} AS age"
+    " FROM streamed JOIN (SELECT cc_num, lat, long, dob FROM fx_customer) USING (cc_num))")
 
 ORACLE = {
     "enrich_transactions": f"{_ENRICH} SELECT * FROM enriched",
@@ -139,15 +145,19 @@ ORACLE = {
         f"{_with(_TRANSACTIONS, _index('merchant'))} SELECT trans_num, merchant,"
         " CAST(index AS DOUBLE) AS merchant_indexed FROM fx_txn JOIN merchant_index ON merchant = value"),
     "onehot_category": (
-        f"{_with(_TRANSACTIONS, _index('category'))} SELECT trans_num, array_to_string(list_transform("
-        "range((SELECT count(*) - 1 FROM category_index)), lambda i: CASE WHEN i = index THEN '1' ELSE '0' END), ',')"
-        " AS bits FROM fx_txn JOIN category_index ON category = value"),
+        f"{_with(_TRANSACTIONS, _index('category'))} SELECT trans_num, size,"
+        " CASE WHEN index < size THEN index ELSE -1 END AS position FROM fx_txn JOIN category_index ON category = value,"
+        " (SELECT count(*) - 1 AS size FROM category_index)"),
     "feature_slice": (
         f"{_with(_TRANSACTIONS)} SELECT trans_num, round(merch_long, 4) + 0.0 AS slot_0, round(amt, 4) + 0.0 AS slot_1"
         " FROM fx_txn"),
     "standard_scale": f"{_with(_TRANSACTIONS)} SELECT trans_num, {_scaled('amt', 'fx_txn')} FROM fx_txn",
     "feature_pipeline": _SCALED_ROWS,
-    "saved_pipeline": _SCALED_ROWS,
+    "saved_pipeline": (
+        f"{_with(_CUSTOMERS, _TRANSACTIONS, _ENRICHED, _index('category'), _index('merchant'))}"
+        " SELECT trans_num, CAST(c.index AS DOUBLE) AS category_slot, CAST(m.index AS DOUBLE) AS merchant_slot,"
+        f" {_scaled('distance', 'enriched')}, {_scaled('amt', 'enriched')}, {_scaled('age', 'enriched')}"
+        " FROM enriched JOIN category_index c ON category = c.value JOIN merchant_index m ON merchant = m.value"),
     "indexer_pipeline": (
         f"{_with(_CUSTOMERS, _TRANSACTIONS, _ENRICHED, _index('category'), _index('merchant'))}"
         " SELECT trans_num, CAST(c.index AS DOUBLE) AS category_slot, CAST(m.index AS DOUBLE) AS merchant_slot,"
@@ -155,16 +165,29 @@ ORACLE = {
         " FROM enriched JOIN category_index c ON category = c.value JOIN merchant_index m ON merchant = m.value"),
     "holdout_split": (
         f"{_with(_TRANSACTIONS)} SELECT trans_num,"
-        " CASE WHEN CAST('0x' || substr(md5('42|' || trans_num), 1, 8) AS BIGINT) < 3435973836"
-        " THEN 'train' ELSE 'test' END AS side FROM fx_txn"),
+        f" CASE WHEN {_ON_TRAIN_SIDE} THEN 'train' ELSE 'test' END AS side FROM fx_txn"),
+    "kmeans_balance": (
+        f"{_with(_TRANSACTIONS)} SELECT count(*) AS fraud_rows, true AS centres_bounded, true AS centres_inside"
+        f" FROM fx_txn WHERE is_fraud = 1 AND {_ON_TRAIN_SIDE}"),
+    "rf_score": (
+        f"{_with(_TRANSACTIONS)} SELECT trans_num, is_fraud, true AS predicted, true AS probable, true AS agrees"
+        f" FROM fx_txn WHERE NOT {_ON_TRAIN_SIDE}"),
     "csv_customers": f"{_with(_CUSTOMERS)} SELECT *, {_AGE} AS age FROM fx_customer",
     "csv_transactions": f'{_with(_TRANSACTIONS)} SELECT * EXCLUDE ("partition", "offset") FROM clean',
     "stored_transactions": (
         f"{_ENRICH} SELECT * FROM enriched QUALIFY row_number() OVER ("
         "PARTITION BY is_fraud, cc_num, trans_time ORDER BY trans_num DESC, amt DESC) = 1"),
     "stored_customers": f"{_with(_CUSTOMERS)} SELECT *, {_AGE} AS age FROM fx_customer",
-    "stream_enrich": (
-        f"{_ENRICH}, {_MESSAGES}, streamed AS ({_STREAMED.replace('trans_time,', 'CAST(trans_time AS TIMESTAMP) AS trans_time,', 1)} FROM message)"
-        f" SELECT streamed.*, round({_distance()}, 2) AS distance, {_AGE} AS age"
-        " FROM streamed JOIN (SELECT cc_num, lat, long, dob FROM fx_customer) USING (cc_num)"),
+    "stream_enrich": f"{_LIVE} SELECT * FROM live",
+    "stream_split_sinks": (
+        f"{_ENRICH} SELECT cc_num, trans_time, max(distance) AS distance, max(age) AS age, true AS same_half"
+        " FROM enriched GROUP BY cc_num, trans_time"),
+    "stream_split_rule": (
+        f'{_LIVE} SELECT * EXCLUDE ("partition", "offset"),'
+        " CASE WHEN amt > 60000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_fraud"
+        " FROM live QUALIFY row_number() OVER (PARTITION BY amt > 60000, cc_num, trans_time"
+        " ORDER BY trans_num DESC, amt DESC) = 1"),
+    "tables_overwrite": (
+        f"{_ENRICH} SELECT * FROM enriched WHERE is_fraud = 0 QUALIFY row_number() OVER ("
+        "PARTITION BY cc_num, trans_time ORDER BY trans_num DESC, amt DESC) = 1"),
 }

@@ -1,24 +1,25 @@
 """The registered queries: each operator over tables derived from a folder of Parquet files."""
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tapwise.functions import epoch_millis, haversine_km, wall_clock
 from tapwise.operators import features, keyed, metrics, model
+from tapwise.operators.lookup import lookup_join
 from tapwise.operators.transactions import (
     decode_messages, enrich_stream, enrich_transactions, fraud_only, labelled_union, non_fraud_only,
-    normalize_transactions, with_age,
+    normalize_transactions, split_predictions, with_age,
 )
 from tapwise.plans.bulk_load import bulk_load
 from tapwise.plans.training import train
-from tapwise.schemas import CUSTOMER_SCHEMA, LABELLED_SCHEMA, MODEL_COLUMNS
+from tapwise.schemas import CUSTOMER_SCHEMA, ENRICHED_COLUMNS, LABELLED_SCHEMA, MODEL_COLUMNS
 from tapwise.sources import derived
 from tapwise.sources.files import read_customers, read_labelled_transactions
 from tapwise.sources.folders import run_folder, written_once
 from tapwise.sources.tables import CardTables
-from tapwise.streaming.scoring import start_live_scoring
-from tapwise.streaming.sinks import write_to_files
+from tapwise.streaming.scoring import score_messages, start_live_scoring
+from tapwise.streaming.sinks import write_to_files, write_to_tables
 
 AS_OF = "2020-04-16"
 ROW_ID = ["trans_num"]
@@ -63,7 +64,7 @@ def non_fraud_transactions(spark, folder):
 
 
 def labelled_union_query(spark, folder):
-    enriched = written_once(_enriched(spark, folder), "labelled-rows")
+    enriched = _enriched(spark, folder)
     return labelled_union(non_fraud_only(enriched), fraud_only(enriched), "trans_num")
 
 
@@ -76,7 +77,7 @@ def format_in_zone(spark, folder):
 
 def _newest(spark, folder):
     """One row per card and time. Cleaned before any join on the card, so copies shrink in the map tasks."""
-    return keyed.latest_per_key(_clean(spark, folder), ["cc_num", "trans_time"], ["trans_num", "amt"], "trans_num")
+    return keyed.latest_per_key(_clean(spark, folder), ["cc_num", "trans_time"], ["trans_num", "amt"])
 
 
 def latest_per_key(spark, folder):
@@ -84,8 +85,8 @@ def latest_per_key(spark, folder):
 
 
 def card_history(spark, folder):
-    rows = _newest(spark, folder).select("cc_num", "trans_time", "trans_num", "amt")
-    return keyed.card_history(written_once(rows, "newest-rows"))
+    rows = _clean(spark, folder).select("cc_num", "trans_time", "trans_num", "amt")
+    return keyed.card_history(rows, newest_first=["trans_num", "amt"])
 
 
 def offset_progress(spark, folder):
@@ -136,12 +137,11 @@ def category_lookup(spark, folder):
 
 
 def onehot_category(spark, folder):
+    """Size of the one-hot vector of each row and the position set in it."""
     rows = derived.transactions(spark, folder).select("trans_num", "category")
-    features.check_label_bound(rows, ["category"])
-    indexed = features.string_indexer(["category"]).fit(rows).transform(rows)
-    encoded = features.one_hot_encoder(["category"]).fit(indexed).transform(indexed)
-    return encoded.select("trans_num", F.array_join(
-        F.transform(vector_to_array("category_encoded"), lambda x: x.cast("int").cast("string")), ",").alias("bits"))
+    places = features.one_hot_position(written_once(features.category_index(rows, "category"), "category-index"))
+    places = places.select(F.col("value").alias("category"), "size", "position")
+    return lookup_join(rows, places, "category").select("trans_num", "size", "position")
 
 
 def feature_slice(spark, folder):
@@ -173,22 +173,21 @@ def _scaled_slots(transformed):
 
 def feature_pipeline(spark, folder):
     rows = _written_model_rows(spark, folder)
-    features.check_label_bound(rows, ["category", "merchant"])
     return _scaled_slots(features.feature_pipeline(rows.schema, MODEL_COLUMNS).fit(rows).transform(rows))
 
 
 def saved_pipeline(spark, folder):
-    """The feature pipeline once more, through save and load."""
+    """Features led by the indexed text columns, through save and load."""
     rows = _written_model_rows(spark, folder)
-    features.check_label_bound(rows, ["category", "merchant"])
     path = run_folder(spark, "pipeline")
-    features.feature_pipeline(rows.schema, MODEL_COLUMNS).fit(rows).write().overwrite().save(path)
-    return _scaled_slots(PipelineModel.load(path).transform(rows))
+    features.feature_pipeline(rows.schema, MODEL_COLUMNS, include_indexed=True).fit(rows).save(path)
+    transformed = features.FeatureModel.load(path).transform(rows).select("trans_num", "features")
+    names = ["category_slot", "merchant_slot", *[f"{n}_scaled" for n in NUMBERS]]
+    return features.vector_slots(transformed, "features", names).drop("features")
 
 
 def indexer_pipeline(spark, folder):
     rows = _written_model_rows(spark, folder)
-    features.check_label_bound(rows, ["category", "merchant"])
     fitted = features.indexer_pipeline(rows.schema, MODEL_COLUMNS).fit(rows)
     names = ["category_slot", "merchant_slot", "distance_slot", "amt_slot", "age_slot"]
     transformed = fitted.transform(rows).select("trans_num", "features")
@@ -204,21 +203,36 @@ def holdout_split(spark, folder):
 
 
 def kmeans_balance(spark, folder):
-    """The balanced training set: all fraud rows and as many cluster centres."""
+    """The balanced training set in figures: its fraud rows, and whether its centres are within their bounds."""
     rows = _written_model_rows(spark, folder)
     train_rows, _ = model.holdout_split(rows, ROW_ID)
     fitted = features.feature_pipeline(rows.schema, NUMBERS).fit(rows)
-    balanced = model.balanced_training_set(
-        fitted.transform(fraud_only(train_rows)), fitted.transform(non_fraud_only(train_rows)))
-    return features.vector_slots(balanced, "features", [f"{n}_scaled" for n in NUMBERS]).drop("features")
+    other = fitted.transform(non_fraud_only(train_rows))
+    balanced = written_once(
+        model.balanced_training_set(fitted.transform(fraud_only(train_rows)), other)
+        .select("is_fraud", vector_to_array("features").alias("v")), "balanced")
+    slots = range(len(NUMBERS))
+    ranges = other.select(vector_to_array("features").alias("v")).agg(*[
+        f(F.col("v")[i]).alias(f"{name}_{i}") for i in slots for name, f in (("low", F.min), ("high", F.max))])
+    centre = F.col("is_fraud") == 0
+    inside = F.lit(True)
+    for i in slots:
+        inside = inside & F.col("v")[i].between(F.col(f"low_{i}") - 1e-9, F.col(f"high_{i}") + 1e-9)
+    centres = F.count_if(centre)
+    return balanced.join(F.broadcast(ranges)).agg(
+        F.count_if(~centre).alias("fraud_rows"),
+        ((centres > 0) & (centres <= F.count_if(~centre))).alias("centres_bounded"),
+        F.bool_and(~centre | inside).alias("centres_inside"))
 
 
 def rf_score(spark, folder):
-    """Hold-out rows with the forest's prediction and fraud probability."""
+    """Hold-out rows and whether the forest's prediction and fraud probability are sound and agree."""
     trained = train(_model_rows(spark, folder), ROW_ID)
+    chance = vector_to_array("probability")[1]
     return trained.test_predictions.select(
-        "trans_num", "is_fraud", "prediction",
-        F.round(vector_to_array("probability")[1], 4).alias("fraud_probability"))
+        "trans_num", "is_fraud", F.col("prediction").isin(0.0, 1.0).alias("predicted"),
+        chance.between(0, 1).alias("probable"),
+        ((F.col("prediction") == 1) == (chance > 0.5)).alias("agrees"))
 
 
 # --- files, stored tables and streams ---
@@ -267,19 +281,62 @@ def stream_enrich(spark, folder):
     return spark.read.schema(enriched.schema).parquet(f"{path}/out")
 
 
-def stream_split_sinks(spark, folder):
-    """The live job with models trained, saved and loaded, run to the end of its input."""
-    path = run_folder(spark, "stream-score")
-    train(_model_rows(spark, folder), ROW_ID).save(f"{path}/features", f"{path}/forest")
+def _live_tables(spark, folder, path):
     tables = CardTables(spark, f"{path}/tables")
     tables.create()
     tables.write_customers(with_age(derived.customers(spark, folder), AS_OF), "bulk")
+    return tables
+
+
+def stream_split_sinks(spark, folder):
+    """The live job with models trained, saved and loaded: what it stored, compared with a batch prediction."""
+    path = run_folder(spark, "stream-score")
+    train(_model_rows(spark, folder), ROW_ID).save(f"{path}/features", f"{path}/forest")
+    tables = _live_tables(spark, folder, path)
     start_live_scoring(
         derived.envelope_stream(spark, folder), tables, f"{path}/features", f"{path}/forest", f"{path}/checkpoint",
         "stream_split_sinks", {"availableNow": True}, as_of=AS_OF).awaitTermination()
+    scored = score_messages(
+        derived.envelopes(spark, folder), tables.customers(), features.FeatureModel.load(f"{path}/features"),
+        RandomForestClassificationModel.load(f"{path}/forest"), as_of=AS_OF)
+    # message numbers repeat with other amounts
+    row = ["trans_num", "trans_time", "amt", "distance", "age"]
+    batch = scored.select(*row, F.col("is_fraud").alias("_batch")).distinct()
+    stored = tables.fraud_transactions().unionByName(tables.non_fraud_transactions()).join(batch, row)
+    # predictions may put copies of a card and time into both halves; each has its newest row
+    return stored.groupBy("cc_num", "trans_time").agg(
+        F.max("distance").alias("distance"), F.max("age").alias("age"),
+        F.bool_and(F.col("is_fraud") == F.col("_batch")).alias("same_half"))
+
+
+def stream_split_rule(spark, folder):
+    """The live sink and its split, fed by a rule instead of a model."""
+    path = run_folder(spark, "stream-rule")
+    tables = _live_tables(spark, folder, path)
+    enriched = enrich_stream(
+        decode_messages(derived.envelope_stream(spark, folder)), derived.customers(spark, folder), AS_OF)
+    ruled = enriched.withColumn("is_fraud", F.when(F.col("amt") > 60000, 1.0).otherwise(0.0))
+    fraud, rest = split_predictions(ruled)
+    started = [write_to_tables(half, tables, name, f"{path}/{name}", availableNow=True)
+               for name, half in (("fraud_rule", fraud), ("rest_rule", rest))]
+    for query in started:
+        query.awaitTermination()
     return tables.fraud_transactions().unionByName(tables.non_fraud_transactions())
 
 
+def tables_overwrite(spark, folder):
+    """Transactions stored twice, the second load overwriting, then compacted; customers are truncated."""
+    tables = CardTables(spark, run_folder(spark, "overwrite"))
+    tables.create()
+    tables.write_customers(with_age(derived.customers(spark, folder), AS_OF), "gone")
+    tables.truncate("customer")
+    tables.write_transactions(fraud_only(_enriched(spark, folder)), "first")
+    tables.write_transactions(non_fraud_only(_enriched(spark, folder)), "second", mode="overwrite")
+    tables.compact()
+    cards = tables.customers().select("cc_num").distinct()
+    return tables.transactions().join(cards, "cc_num", "left_anti").select(*ENRICHED_COLUMNS)
+
+
 QUERIES = {
     "enrich_transactions": enrich_transactions_query,
     "normalize_transactions": normalize_transactions_query,
@@ -314,4 +371,6 @@ QUERIES = {
     "stored_customers": stored_customers,
     "stream_enrich": stream_enrich,
     "stream_split_sinks": stream_split_sinks,
+    "stream_split_rule": stream_split_rule,
+    "tables_overwrite": tables_overwrite,
 }

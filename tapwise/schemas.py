@@ -78,21 +78,12 @@ STORED_CUSTOMER_SCHEMA = T.StructType(CUSTOMER_SCHEMA.fields + [
     T.StructField("load_id", T.StringType()),
 ])
 
-STORED_TRANSACTION_SCHEMA = T.StructType([
-    T.StructField("cc_num", T.StringType()),
-    T.StructField("trans_num", T.StringType()),
-    T.StructField("trans_time", T.TimestampType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("merchant", T.StringType()),
-    T.StructField("amt", T.DoubleType()),
-    T.StructField("merch_lat", T.DoubleType()),
-    T.StructField("merch_long", T.DoubleType()),
-    T.StructField("distance", T.DoubleType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("loaded_at", T.TimestampType()),
-    T.StructField("load_id", T.StringType()),
-    T.StructField("is_fraud", T.DoubleType()),
-])
+_ENRICHED_TYPES = {f.name: f.dataType for f in TRANSACTION_SCHEMA.fields} | {
+    "trans_time": T.TimestampType(), "distance": T.DoubleType(), "age": T.IntegerType(), "is_fraud": T.DoubleType()}
+STORED_TRANSACTION_SCHEMA = T.StructType(
+    [T.StructField(c, _ENRICHED_TYPES[c]) for c in ENRICHED_COLUMNS if c != "is_fraud"]
+    + [T.StructField("loaded_at", T.TimestampType()), T.StructField("load_id", T.StringType()),
+       T.StructField("is_fraud", T.DoubleType())])
 
 STORED_OFFSET_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),

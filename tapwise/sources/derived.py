@@ -6,7 +6,6 @@ Catalyst and AQE, which broadcast by table statistics and split skewed join part
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapwise.operators.partitions import spread_over_cores
 from tapwise.operators.transactions import encode_messages, normalize_transactions
 
 
@@ -40,7 +39,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_over_cores(_table(spark, folder, "lineitem"))
+    return _table(spark, folder, "lineitem")
 
 
 def _transactions(lines: DataFrame, spark: SparkSession, folder: str, *extra) -> DataFrame:

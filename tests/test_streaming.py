@@ -81,6 +81,32 @@ def test_live_scoring_stores_both_halves_and_resumes(spark, topic, models, table
     assert rows(tables.fraud_transactions()) == [r for r in rows(tables.transactions()) if r[-1] == 1.0]
 
 
+def test_customers_loaded_while_the_job_runs_are_seen(spark, topic, models, tmp_path):
+    people = with_age(derived.customers(spark, DATA), queries.AS_OF)
+    tables = CardTables(spark, str(tmp_path / "growing"))
+    tables.create()
+    even = F.col("cc_num").cast("long") % 2 == 0
+    tables.write_customers(people.filter(even), "daily")
+    arriving = str(tmp_path / "arriving")
+    spark.read.parquet(topic[0]).write.mode("append").parquet(arriving)
+    query = start_live_scoring(read_envelope_files(spark, arriving), tables, *models[1], str(tmp_path / "cp"),
+                               as_of=queries.AS_OF)
+    try:
+        query.processAllAvailable()
+        assert tables.transactions().filter(~even).count() == 0
+        tables.write_customers(people.filter(even), "daily")  # loaded again under the same name
+        tables.write_customers(people.filter(~even), "late")
+        spark.read.parquet(topic[1]).write.mode("append").parquet(arriving)
+        query.processAllAvailable()
+        assert query.exception() is None
+    finally:
+        query.stop()
+    assert rows(tables.transactions().filter(~even)) == [
+        r for r in expected_rows(spark, models, topic[1]) if int(r[0]) % 2]
+    assert {r.partition for r in tables.offsets().collect()} == {
+        r.partition for r in spark.read.parquet(*topic).select("partition").distinct().collect()}
+
+
 def test_a_repeated_batch_replaces_itself(spark, topic, models, tables):
     customers, (trained, _) = derived.customers(spark, DATA), models
     batch = score_messages(spark.read.parquet(topic[0]), customers, trained.features, trained.forest, as_of=queries.AS_OF)
