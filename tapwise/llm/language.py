@@ -96,16 +96,14 @@ def phrase_counts(codes: list[np.ndarray], table: np.ndarray) -> np.ndarray:
         begin += n
     columns, flat = np.ascontiguousarray(grid.T).astype(np.int32), table.reshape(-1)
     start = table[1]
-    state, phrases = np.ones(len(owner), np.int32), (grid[:, 0] != PAD).astype(np.int64)
+    state, phrases = np.ones(len(owner), np.int32), np.zeros(len(owner), np.int64)
     for symbols in columns:
         following = flat.take(state * ALPHABET + symbols)
         failed = following == 0
-        if failed.any():
-            again = start.take(symbols[failed])
-            phrases[failed] += state[failed] != 1
-            # a symbol that no phrase begins with is a phrase of its own
-            phrases[failed] += (again == 0)
-            following[failed] = np.where(again == 0, 1, again)
+        # a phrase begins at the start state or where the one before cannot go on
+        phrases += (failed | (state == 1)) & (symbols != PAD)
+        # a symbol that no phrase begins with is a phrase of its own
+        following[failed] = np.maximum(start.take(symbols[failed]), 1)
         state = following
     return np.bincount(owner, phrases, len(codes))
 
