@@ -172,3 +172,70 @@ def test_shared_folder_is_the_session_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named.rstrip("/")
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_customers_doubled_in_one_load_have_one_winner(spark, tmp_path):
+    people = with_age(derived.customers(spark, DATA), "2020-01-01")
+    doubled = people.withColumn("job", F.lit("a")).union(people.withColumn("job", F.lit("b")))
+    for parts in (1, 4, 9):
+        tables = CardTables(spark, str(tmp_path / f"doubled-{parts}"))
+        tables.create()
+        tables.write_customers(doubled.repartition(parts), "one")
+        assert {r.job for r in tables.customers().select("job").distinct().collect()} == {"b"}
+
+
+def test_compaction_keeps_results_and_drops_the_window(spark, tables):
+    tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0), ("1", "b", 1, 0.0), ("2", "c", 1, 1.0)), "first")
+    tables.write_transactions(enriched(spark, ("1", "d", 1, 0.0), (None, "e", 2, 0.0), (None, "e", 2, 0.0)), "second")
+    before = numbers(tables.transactions())
+    assert before == ["c", "d", "e", "e"]
+    assert "row_number" in tables.transactions()._jdf.queryExecution().optimizedPlan().toString()
+    tables.compact()
+    assert numbers(tables.transactions()) == before
+    assert "row_number" not in tables.transactions()._jdf.queryExecution().optimizedPlan().toString()
+    tables.write_transactions(enriched(spark, ("2", "f", 1, 1.0), ("3", "g", 1, 0.0)), "third")
+    assert numbers(tables.transactions()) == ["d", "e", "e", "f", "g"]
+    tables.write_transactions(enriched(spark, ("3", "h", 1, 0.0)), "second")  # repeated after compaction
+    assert numbers(tables.fraud_transactions()) == ["f"]
+    tables.compact()
+    assert len(tables._manifest("transaction").parts()) == 1
+
+
+def test_a_load_during_compaction_is_kept(spark, tables, monkeypatch):
+    tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0)), "first")
+    write = tables._write
+
+    def slow(df, table):
+        folder = write(df, table)
+        monkeypatch.undo()
+        tables.write_transactions(enriched(spark, ("2", "b", 1, 0.0)), "meanwhile")
+        return folder
+
+    monkeypatch.setattr(tables, "_write", slow)
+    tables.compact("transaction")
+    assert numbers(tables.transactions()) == ["a", "b"]
+
+
+def test_a_failing_overwrite_leaves_the_old_table(spark, tables):
+    tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0)), "first")
+    bad = enriched(spark, ("1", "b", 1, 0.0)).withColumn("amt", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_transactions(bad, "second", mode="overwrite")
+    assert numbers(tables.transactions()) == ["a"]
+
+
+def test_readers_keep_their_files_when_a_load_is_repeated(spark, tables):
+    tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0)), "same")
+    reader = tables.transactions()
+    tables.write_transactions(enriched(spark, ("1", "b", 1, 0.0)), "same")
+    assert numbers(reader) == ["a"] and numbers(tables.transactions()) == ["b"]
+
+
+def test_any_load_name_is_one_load(spark, tables):
+    for name in ("a", "a/b", "a=1", "../c"):
+        tables.write_transactions(enriched(spark, (name, name, 1, 0.0)), name)
+    assert numbers(tables.transactions()) == ["../c", "a", "a/b", "a=1"]
+    tables.write_transactions(enriched(spark, ("new", "new", 1, 0.0)), "a")
+    assert numbers(tables.transactions()) == ["../c", "a/b", "a=1", "new"]
+    with pytest.raises(ValueError, match="name"):
+        tables.write_transactions(enriched(spark, ("1", "1", 1, 0.0)), "")
