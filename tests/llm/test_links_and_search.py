@@ -1,0 +1,196 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from oracle_check import compare
+from tapwise.llm import neighbours, quotes, url_filter
+from tapwise.llm.queries import ORACLE, QUERIES, URL_RULES
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert compare(spark, "/root/testdata/sf0.01", name) is None
+
+
+# --- urls ---
+
+URLS = [
+    (1, "https://WWW.A.Example.com/x/?b=2&a=1&utm_source=q#f"), (2, "http://a.example.com/x?a=1&b=2"),
+    (3, "http://a.example.com/x?a=1"), (4, None), (5, "no scheme/en/"), (6, "https://shop.net/any"),
+    (7, "https://b.example.net/en/1"), (8, "https://b.example.net/de/1"), (9, "https://example.com/de/2"),
+    (10, "https://c.org/fr/x"), (11, "https://c.org/FR/x"), (12, "ftp://"), (13, "x://notexample.com/de/"),
+    (14, "https://m.a.example.com/x///?ref=z&b=2&a=1"), (14, "http://a.example.com/x?a=1&b=2"), (None, "http://q.org?x"),
+]
+
+
+def judged(spark, listed, rules=URL_RULES):
+    pages = spark.createDataFrame([(i, u, "rule", "x") for i, u in URLS], "page_id long, url string, rule string, host string")
+    urls = spark.createDataFrame([(u,) for u in listed], "url string")
+    return url_filter.judge_urls(pages.repartition(3), urls, rules).collect()
+
+
+def test_rules_and_hosts(spark):
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged(spark, [None])}
+    assert found[1] == ("www.a.example.com", "/x/", None, "allow")
+    assert found[4] == found[5] == ("", "", None, "allow")
+    assert found[6] == ("shop.net", "/any", "net/", "block")
+    assert found[7][2:] == ("example.net/en/", "allow") and found[8][2:] == ("net/", "block")
+    assert found[9][2:] == ("example.com/de/", "block") and found[10][2:] == ("org/fr/", "allow")
+    assert found[11][2] is None and found[12] == ("", "", None, "allow") and found[13][2] is None
+    assert found[None] == ("q.org", "", None, "allow") and len(judged(spark, [])) == len(URLS)
+
+
+def test_only_listed_urls_are_blocked(spark):
+    rows = judged(spark, ["a.example.com/x?a=1&b=2", "a.example.com/y"], [])
+    assert sorted((r.page_id or 0) for r in rows if r.verdict == "block") == [1, 2, 14, 14]
+
+
+def test_a_full_filter_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_BLOCKS", 1)  # every bit gets set
+    pages = spark.range(4000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.se/"), "id").alias("url"))
+    listed = pages.filter("page_id % 2 = 0").select(url_filter.canonical_url(F.col("url")).alias("url"))
+    rows = url_filter.judge_urls(pages, listed, [])
+    assert rows.filter("(verdict = 'block') != (page_id % 2 = 0)").count() == 0 and rows.count() == 4000
+
+
+def test_filter_rules_most_pages_out(spark):
+    listed = spark.range(3000).select(F.concat(F.lit("a"), "id").alias("url"))
+    others = spark.range(3000).select(F.concat(F.lit("b"), "id").alias("url"))
+    blocks = 3000 * url_filter.BITS_PER_KEY // 512
+    bloom = url_filter.bloom_filter(listed, blocks)
+
+    def hits(urls):
+        probed = urls.withColumn("block", url_filter._block(F.col("url"), blocks)).join(bloom, "block")
+        for w, mask in enumerate(url_filter._masks(F.col("url"))):
+            probed = probed.filter(F.col(f"w{w}").bitwiseAND(mask) == mask)
+        return probed.count()
+
+    assert hits(listed) == 3000 and hits(others) < 60
+
+
+def test_no_pages(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judge_urls(none, none.select("url"), URL_RULES).count() == 0
+
+
+# --- quotations ---
+
+def test_quotes_are_parsed_by_level():
+    own, originals, quoted = quotes.parse_quotes("Hi\nOn Monday Ann wrote:\n> Is it  TRUE?\n> > first\n>> words\n\nYes, it is.")
+    assert own == "Hi\n\nYes, it is."
+    assert quotes.passage_hash("is it true?") in [h for level, h in quoted if level == 1]
+    assert quotes.passage_hash("first words") in [h for level, h in quoted if level == 2]
+    assert quotes.passage_hash("yes, it is.") in originals
+    assert quotes.parse_quotes(None) == (None, [], []) and quotes.parse_quotes(">") == ("", [], [])
+
+
+def thread(spark, rows, **columns):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    return quotes.order_replies(df.withColumn("position", F.lit("clash"))).orderBy("conv_id", "position").collect()
+
+
+def test_replies_follow_what_they_quote(spark):
+    rows = [(1, 0, "a", "apples are red"), (1, 1, "b", "pears are green"), (1, 2, "c", "> apples are red\nno, yellow"),
+            (1, 3, "d", "> pears are green\nI agree"), (1, 4, "e", "> > apples are red\n> no, yellow\nboth"),
+            (1, 5, "f", ">> apples are red\n> lost words\nhm"), (2, 0, "a", "> apples are red\nother place"),
+            (2, 1, "a", None), (2, 2, "a", ""), (None, 1, "a", "alone"), (3, None, "a", "no turn"), (3, 5, None, "last")]
+    found = thread(spark, rows)
+    first = [r for r in found if r.conv_id == 1]
+    assert [(r.turn, r.parent_turn, r.root_turn, r.depth) for r in first] == [
+        (0, None, 0, 0), (2, 0, 0, 1), (4, 2, 0, 2), (5, 0, 0, 1), (1, None, 1, 0), (3, 1, 1, 1)]
+    assert [r.position for r in first] == list(range(6))
+    assert [r.content for r in first][:3] == ["apples are red", "no, yellow", "both"]
+    assert [(r.turn, r.answered) for r in found if r.conv_id == 2] == [(0, False), (1, False), (2, False)]
+    assert [r.turn for r in found if r.conv_id == 3] == [None, 5] and len(found) == len(rows)
+
+
+def test_reply_order_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "SPAN", 8)  # many stretches
+    rng = random.Random(8)
+    rows, said = [], defaultdict(list)
+    for turn in range(300):
+        conv = 0 if rng.random() < 0.6 else rng.randrange(1, 5)
+        words = f"words {rng.randrange(40)}"
+        quoted = rng.choice(said[conv]) if said[conv] and rng.random() < 0.5 else None
+        rows.append((conv, turn, "u", (f"> {quoted}\n" if quoted else "") + words))
+        said[conv].append(words)
+    parent, root, depth = {}, {}, {}
+    for conv, turn, _, text in rows:
+        quoted = re.match("> (.*)\n", text)
+        own = [t for c, t, _, x in rows if c == conv and t < turn and quoted and x.split("\n")[-1] == quoted[1]]
+        parent[turn] = max(own, default=None)
+        root[turn] = root[parent[turn]] if own else turn
+        depth[turn] = depth[parent[turn]] + 1 if own else 0
+    found = thread(spark, rows)
+    assert {r.turn: (r.parent_turn, r.root_turn, r.depth) for r in found} == {
+        t: (parent[t], root[t], depth[t]) for t in parent}
+    for conv in range(5):
+        turns = sorted((t for c, t, _, _ in rows if c == conv), key=lambda t: (root[t], t))
+        assert [(r.position, r.turn) for r in found if r.conv_id == conv] == list(enumerate(turns))
+
+
+def test_whole_conversations_without_quotes(spark):
+    rows = spark.read.parquet(f"{DATA}/conversations.parquet").collect()
+    found = QUERIES["op7_reply_order"](spark, DATA).collect()
+    assert Counter((r.conv_id, r.turn, r.role) for r in found) == Counter((r.conv_id, r.turn, r.role) for r in rows)
+    assert all(r.position == r.turn for r in found)
+    assert quotes.order_replies(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+# --- neighbours ---
+
+def brute_nearest(rows, step, count):
+    out = {}
+    for i, v in rows:
+        if i % step == 0:
+            scored = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i)
+            out[i] = scored[:count]
+    return out
+
+
+def search(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, rank int")
+    return neighbours.nearest_neighbours(df.repartition(3), **options).orderBy("query_id", "rank").collect()
+
+
+def test_copies_ties_and_rows_that_take_no_part(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(120)]
+    rows += [(200 + i, rows[3][1]) for i in range(60)]  # copies of one vector, three of them queries
+    clean = list(rows)
+    rows += [(200, rows[3][1]), (400, None), (420, [0.0] * 8), (440, [float("nan")] * 8), (460, [None] + [1.0] * 7),
+             (480, [1.0]), (None, [1.0] * 8), (500, [float("inf")] * 8)]
+    expected = brute_nearest(clean, 20, 20)
+    found = defaultdict(list)
+    for r in search(spark, rows):
+        assert r.rank == len(found[r.query_id]) + 1
+        found[r.query_id].append((-r.score, r.vec_id))
+    assert set(found) == set(expected)
+    for query, nearest in expected.items():
+        assert [j for _, j in found[query]] == [j for _, j in nearest]
+        assert np.allclose([s for s, _ in found[query]], [s for s, _ in nearest], rtol=0, atol=1e-12)
+
+
+def test_few_or_no_vectors(spark):
+    assert search(spark, []) == []
+    found = search(spark, [(20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])])
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in found] == [(20, 1, 1, 0.5), (20, 2, 2, -1.0)]
+    assert search(spark, [(20, [1.0, 0.0])]) == []
+
+
+def test_recall_with_small_leaves(spark):
+    """The descent has to find what trees of small leaves miss."""
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((3000, 16)))]
+    expected = brute_nearest([r for r in rows], 100, 20)
+    found = defaultdict(set)
+    for r in search(spark, rows, query_step=100, leaf=64, trees=3):
+        found[r.query_id].add(r.vec_id)
+    recall = np.mean([len(found[q] & {j for _, j in n}) / 20 for q, n in expected.items()])
+    assert recall >= 0.95
