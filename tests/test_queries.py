@@ -3,6 +3,8 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import DATA
 from oracle_check import compare
+from tapwise.plans.oracle import ORACLE
+from tapwise.plans.queries import QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
@@ -19,15 +21,16 @@ def test_every_sql_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-def test_model_queries_cover_all_rows(spark):
-    split = entry_points.queries()["holdout_split"](spark, DATA)
+def test_every_query_of_this_part_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_hold_out_rows_hold_both_classes(spark):
     scored = entry_points.queries()["rf_score"](spark, DATA)
-    assert scored.count() == split.filter("side = 'test'").count()
-    assert {r.prediction for r in scored.select("prediction").distinct().collect()} <= {0.0, 1.0}
+    assert {r.is_fraud for r in scored.select("is_fraud").distinct().collect()} == {0.0, 1.0}
+    assert scored.filter("not (predicted and probable and agrees)").count() == 0
 
 
-def test_streamed_scoring_stores_every_row(spark):
-    stored = entry_points.queries()["stream_split_sinks"](spark, DATA).select("trans_num", "is_fraud")
-    expected = entry_points.queries()["enrich_transactions"](spark, DATA)
-    assert stored.select("trans_num").distinct().count() == expected.select("trans_num").distinct().count()
-    assert stored.filter("is_fraud not in (0.0, 1.0)").count() == 0
+def test_live_rule_stores_both_halves(spark):
+    stored = entry_points.queries()["stream_split_rule"](spark, DATA)
+    assert {r.is_fraud for r in stored.select("is_fraud").distinct().collect()} == {0.0, 1.0}
