@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tapwise.llm.components import connected_components
 from tapwise.llm.keys import KEY, key_columns, with_key
 from tapwise.llm.shingles import mix, shingle_set
+from tapwise.operators.lookup import lookup_join
 from tapwise.sources.folders import run_folder, written_once
 
 COMMON_NGRAMS = 1 << 16  # n-grams that are put last in the order; it only saves work
@@ -116,18 +117,49 @@ def _leading(documents: DataFrame, words: int, percent: int, common: list[int])
     return documents.select("text").mapInArrow(rows, "node binary, n long, grams array<long>")
 
 
+def _needed(percent: int) -> Column:
+    """N-grams that sets of a_n and b_n must share."""
+    return F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent) - 1e-9)
+
+
 def _reachable(percent: int) -> Column:
     """Whether a shared n-gram at positions a_at and b_at, the first one shared, leaves enough for the bound."""
-    a, b = F.col("a_n"), F.col("b_n")
+    a, b, needed = F.col("a_n"), F.col("b_n"), _needed(percent)
     sizes = (a * 100 >= b * percent) & (b * 100 >= a * percent)
-    needed = F.ceil((a + b) * percent / (100 + percent) - 1e-9)
     return sizes & (a - F.col("a_at") >= needed) & (b - F.col("b_at") >= needed)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity."""
+def _overlapping(pairs: DataFrame, leading: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose leading n-grams overlap enough for the bound.
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Of the set whose leading part ends first in the order, all shared n-grams in that part are leading in the other
+    set too. So the overlap is at most that of the leading parts and what comes after one of them.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    found = written_once(lookup_join(leading, nodes, "node"), "pair-leading")
+    both = (
+        pairs.join(found.select(*[F.col(c).alias(f"a_{c}") for c in ("node", "n", "grams")]), F.col("a") == F.col("a_node"))
+        .join(found.select(*[F.col(c).alias(f"b_{c}") for c in ("node", "n", "grams")]), F.col("b") == F.col("b_node"))
+    )
+    rest = F.greatest(F.col("a_n") - F.size("a_grams"), F.col("b_n") - F.size("b_grams"))
+    shared = F.size(F.array_intersect("a_grams", "b_grams"))
+    return both.filter(shared + rest >= _needed(percent)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, columns: DataFrame, first: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets reach the similarity.
+
+    Only the texts of documents in pairs are fetched, one for each node, and only their sets are moved.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py(), words)[0] for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_node(g) for g in found], pa.binary()),
+                 pa.array([g.tobytes() for g in found], pa.binary())], ["node", "grams"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for left, right in zip(batch.column("a_set"), batch.column("b_set")):
@@ -137,10 +169,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b")], ["a", "b"])
 
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    keys = written_once(nodes.join(first, "node").select(*KEY), "pair-keys")
+    texts = lookup_join(columns, keys, KEY).select("text")
+    sets = written_once(texts.mapInArrow(whole, "node binary, grams binary").dropDuplicates(["node"]), "sets")
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("a_set")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("b_set")), "b")
-        .select("a", "b", "a_set", "b_set").mapInArrow(rows, "a binary, b binary")
+        .select("a", "b", "a_set", "b_set").mapInArrow(compared, "a binary, b binary")
     )
 
 
@@ -158,29 +194,20 @@ def _grouped(documents: DataFrame, words: int, percent: int, pivot_rounds: int)
     members = sets.filter("n_shingles >= 0").select("doc_id", *KEY, "node", "n_shingles")
 
     leading = _leading(columns, words, percent, _most_common(sets)).dropDuplicates(["node"])
-    entries = written_once(leading, "leading").select("node", "n", F.posexplode("grams").alias("at", "gram"))
-    shared = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("gram")
-    postings = written_once(entries.join(shared, "gram"), "postings")
+    leading = written_once(leading, "leading")
+    entries = leading.select("node", "n", F.posexplode("grams").alias("at", "gram"))
+    shared = written_once(
+        entries.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "shared-ngrams")
+    postings = written_once(lookup_join(entries, shared, "gram"), "postings")
     weights = postings.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    first = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = weights.join(first, "node").select(F.col("doc_id").alias("_id"))
-    nodes = written_once(weights, "nodes")
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(t.as_py(), words)[0] for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_node(g) for g in found], pa.binary()),
-                 pa.array([g.tobytes() for g in found], pa.binary())], ["node", "grams"])
-
-    wanted = columns.join(chosen, columns["doc_id"].eqNullSafe(chosen["_id"]), "left_semi")
-    whole_sets = written_once(
-        wanted.select("text").mapInArrow(whole, "node binary, grams binary").dropDuplicates(["node"]), "sets")
+    first = written_once(
+        members.groupBy("node").agg(F.min(F.struct("doc_id", *KEY)).alias("f")).select("node", "f.*"), "first")
 
-    labels = nodes.select("node", F.col("node").alias("label"), "weight")
+    labels = written_once(weights.select("node", F.col("node").alias("label"), "weight"), "labels")
     tested, folder = None, run_folder(spark, "pairs")
     for turn in range(pivot_rounds + 1):
-        placed = postings.join(labels, "node")
+        # the first pivot of an n-gram in two documents has met all there is to meet
+        placed = postings.filter(F.col("rows") > (2 if turn else 1)).join(labels, "node")
         if turn < pivot_rounds:
             rank = F.struct("weight", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
             pivots = (
@@ -206,7 +233,8 @@ def _grouped(documents: DataFrame, words: int, percent: int, pivot_rounds: int)
         pairs = spark.read.schema(pairs.schema).parquet(f"{folder}/turn={turn}")
         tested = spark.read.schema("a binary, b binary").parquet(*[f"{folder}/turn={t}" for t in range(turn + 1)])
 
-        links = written_once(_verified(pairs, whole_sets, percent), "links")
+        close = written_once(_overlapping(pairs, leading, percent), "close-pairs")
+        links = written_once(_verified(close, columns, first, words, percent), "links")
         between = (
             links.join(labels.select(F.col("node").alias("a"), F.col("label").alias("_a")), "a")
             .join(labels.select(F.col("node").alias("b"), F.col("label").alias("_b")), "b")
@@ -217,7 +245,7 @@ def _grouped(documents: DataFrame, words: int, percent: int, pivot_rounds: int)
             labels.join(merged, "label", "left")
             .select("node", F.coalesce("_merged", "label").alias("label"), "weight"), "labels")
 
-    grouped = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    grouped = first.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = grouped.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_node = grouped.select("node", "label").join(smallest, "label")
     linked = members.filter(F.col("node").isNotNull()).join(by_node, "node")
