@@ -19,16 +19,28 @@ CONSTANT = 0.6  # share of constant tokens a generalised template has at least
 PREVAILS = 0.5  # share of a leaf's lines that have the token of a constant position at least
 
 
-def _masked(line: Column) -> Column:
-    """The line with single spaces and FIELD for tokens with a digit."""
-    spaced = F.trim(F.regexp_replace(line, "\\s+", " "))
+def _masked(line: Column, digits: Column) -> Column:
+    """The line with single spaces and FIELD for tokens with a digit; `digits` says whether its text has any.
+
+    Most lines need neither, so plain searches decide before a pattern runs.
+    """
+    uneven = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
+    spaced = F.trim(F.when(uneven, F.regexp_replace(line, "[ \t\r]+", " ")).otherwise(line))
     fields = F.regexp_replace(spaced, "(?<!\\S)[^\\s0-9]*+[0-9]\\S*", FIELD)
-    return F.when(spaced.rlike("[0-9]"), fields).otherwise(spaced)
+    return F.when(digits & line.rlike("[0-9]"), fields).otherwise(spaced)
+
+
+def _has_digits(text: Column) -> Column:
+    return text.rlike("[0-9]")
+
+
+def _without_bytes(text: Column, part: str) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))
 
 
 def _tokens(masked: Column) -> Column:
     """Number of tokens of a masked line."""
-    return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+    return _without_bytes(masked, " ") + 1
 
 
 def _template(masked: Column) -> Column:
@@ -40,11 +52,12 @@ def _leaf(masked: Column) -> Column:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """Per document its masked lines that can be templates, each once, with the order that finds the first."""
+    """Per document its masked lines that can be templates, with the order that finds the first document."""
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("_key").alias("key"))
-    masked = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), _masked),
-                                       lambda m: _tokens(m) >= MIN_TOKENS))
-    return documents.select(*KEY, place.alias("_place"), masked.alias("_masked"))
+    rows = documents.select(*KEY, place.alias("_place"), "text", _has_digits(F.col("text")).alias("_digits"))
+    masked = F.filter(F.transform(F.split("text", "\n"), lambda line: _masked(line, F.col("_digits"))),
+                      lambda m: _tokens(m) >= MIN_TOKENS)
+    return rows.select(*KEY, "_place", masked.alias("_masked"))
 
 
 def _frequent(lines: DataFrame) -> DataFrame:
@@ -90,7 +103,7 @@ def recurring_lines(documents: DataFrame) -> DataFrame:
     """Rows (_key, _text_key, templates): the templates whose lines each document loses."""
     lines = _lines(with_key(documents))
     frequent = written_once(_frequent(lines), "frequent-lines")
-    each = lines.select(*KEY, "_place", F.explode("_masked").alias("line")).select(
+    each = lines.select(*KEY, "_place", F.explode(F.array_distinct("_masked")).alias("line")).select(
         "*", _template(F.col("line")).alias("template"), _leaf(F.col("line")).alias("leaf"))
     by_template = frequent.select(F.col("hash").alias("template"), "_doc", "_first_key")
     by_leaf = frequent.select(F.col("hash").alias("leaf"), F.lit(1).alias("_reached"))
@@ -117,8 +130,8 @@ def without_recurring_lines(documents: DataFrame) -> DataFrame:
     """
     drops = written_once(recurring_lines(documents), "dropped-lines")
     lines, gone = F.split("text", "\n"), F.col("templates")
-    kept = F.filter(lines, lambda line: ~F.array_contains(gone, _template(_masked(line))))
-    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    kept = F.filter(lines, lambda line: ~F.array_contains(gone, _template(_masked(line, F.lit(True)))))
+    count = F.when(F.col("text").isNull(), 0).otherwise(_without_bytes(F.col("text"), "\n") + 1)
     row = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
     joined = documents.select(F.struct(*row).alias("_row"), "text", *key_columns()).join(drops, KEY, "left").select(
         "_row", "text", count.alias("n_lines"), F.when(gone.isNotNull(), kept).alias("_kept"))
