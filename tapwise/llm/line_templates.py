@@ -133,11 +133,16 @@ def without_recurring_lines(documents: DataFrame) -> DataFrame:
     kept = F.filter(lines, lambda line: ~F.array_contains(gone, _template(_masked(line, F.lit(True)))))
     count = F.when(F.col("text").isNull(), 0).otherwise(_without_bytes(F.col("text"), "\n") + 1)
     row = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    joined = documents.select(F.struct(*row).alias("_row"), "text", *key_columns()).join(drops, KEY, "left").select(
+    others = F.struct(*[c for c in row if c != "text"]).alias("_row")
+    joined = documents.select(others, "text", *key_columns()).join(drops, KEY, "left").select(
         "_row", "text", count.alias("n_lines"), F.when(gone.isNotNull(), kept).alias("_kept"))
-    values = [F.coalesce(F.array_join("_kept", "\n"), "text").alias("text") if c == "text" else F.col(f"_row.`{c}`")
-              for c in row]
-    return joined.select(*values, "n_lines", F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).alias("n_dropped"))
+    changed = F.struct(
+        F.coalesce(F.array_join("_kept", "\n"), "text").alias("_text"), "n_lines",
+        F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).alias("n_dropped"))
+    # made by a generator: a filter of the caller on these columns is not pushed through it, to work them out again
+    made = joined.select("_row", F.inline(F.array(changed)))
+    return made.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in row],
+                       "n_lines", "n_dropped")
 
 
 def drop_recurring_lines(documents: DataFrame) -> DataFrame:
