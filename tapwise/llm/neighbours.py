@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: NN-descent builds a graph, queries search it greedily.
 
 The graph starts from random hyperplane trees, whose leaves are compared exactly, and is refined by joining the
-neighbours of neighbours: around each vector, all that know it or that it knows are compared with one another.
+neighbours of neighbours: around each vector, all that know it or that it knows are compared with one another, until
+no pool changes. The graph is built in single precision; queries search it in double precision.
 """
 
 from collections.abc import Iterator
@@ -16,10 +17,8 @@ DEGREE = 40  # neighbours of a vector in the graph
 REVERSE = 40  # vectors that know it, in the pool around it
 TREES = 8
 LEAF = 2048  # vectors compared exactly in a leaf
-DESCENTS = 2
 BEAM = 80  # vectors that a query keeps
 EXPANDED = 24  # of them, those whose neighbours a round looks up
-SEARCH_ROUNDS = 3
 PLANES = 24  # hyperplanes that order the vectors of a tree
 
 
@@ -66,19 +65,21 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
     """Best links (node, other, sim) within leaves of random hyperplane trees.
 
     The path through a tree is a sort key; rows are range-sorted by it and cut into leaves of equal size, so
-    copies and clusters of any size are cut as well.
+    copies and clusters of any size are cut as well. Vectors on one path are ordered along a direction of the tree's
+    own, equal ones by a hash with the path, so each tree cuts a group of near copies in another way.
     """
-    planes = np.random.default_rng(seed).standard_normal((size, trees, PLANES)).astype(np.float32)
+    planes = np.random.default_rng(seed).standard_normal((size, trees, PLANES + 1)).astype(np.float32)
 
     def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = 1 << np.arange(PLANES)[::-1]
         for batch in batches:
-            data = _matrix(batch.column("half"), np.float16).astype(np.float32)
-            codes = (np.einsum("nd,dtp->ntp", data, planes, optimize=True) > 0) @ weights
+            data = _matrix(batch.column("single"), np.float32)
+            sides = np.einsum("nd,dtp->ntp", data, planes, optimize=True)
+            codes = (sides[:, :, :PLANES] > 0) @ weights
             for tree in range(trees):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes[:, tree] + (tree << PLANES), pa.int64()), batch.column("node"),
-                     batch.column("half")], ["path", "node", "half"])
+                    [pa.array(codes[:, tree] + (tree << PLANES), pa.int64()), pa.array(sides[:, tree, PLANES]),
+                     batch.column("node"), batch.column("single")], ["path", "along", "node", "single"])
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def leaves(rows: pa.Table, last: bool) -> tuple[list, pa.Table]:
@@ -100,7 +101,7 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         nodes = rows.column("node").to_numpy()
-        data = _matrix(rows.column("half").combine_chunks(), np.float16).astype(np.float32)
+        data = _matrix(rows.column("single").combine_chunks(), np.float32)
         keep, out = min(degree + 1, len(nodes)), []
         for begin in range(0, len(nodes), 512):
             sims = data[begin:begin + 512] @ data.T
@@ -115,28 +116,37 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
         return pa.RecordBatch.from_arrays(
             [pa.array(node), pa.array(other), pa.array(sim.astype(np.float32))], ["node", "other", "sim"])
 
-    placed = vectors.select("node", "half").mapInArrow(paths, "path long, node long, half binary")
+    placed = vectors.select("node", "single").mapInArrow(paths, "path long, along float, node long, single binary")
     parts = max(1, count * trees // (4 * leaf))
-    ordered = placed.repartitionByRange(parts, "path", "node").sortWithinPartitions("path", "node")
+    place = ["path", "along", F.xxhash64("path", "node")]
+    ordered = placed.repartitionByRange(parts, *place).sortWithinPartitions(*place).drop("along")
     return _best(ordered.mapInArrow(links, "node long, other long, sim float"), "node", "other", degree)
 
 
-def _descend(graph: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
-    """One round of the descent: the pool around each vector is compared with itself.
+def _pools(graph: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Rows (centre, members, mark): each vector's neighbours and the nearest of those whose neighbour it is.
 
-    A pool holds the vector's neighbours and the nearest of those whose neighbour it is, so it is bounded however
-    many know it. Only pairs nearer than the worst neighbour a vector has leave the task.
+    A pool is bounded however many vectors know its centre. Pools of equal members have equal marks.
     """
     known = graph.select(F.col("node").alias("centre"), F.col("other").alias("member"), "sim")
     knowing = _best(graph.select(F.col("other").alias("centre"), F.col("node").alias("member"), "sim"),
                     "centre", "member", REVERSE)
     itself = vectors.select(F.col("node").alias("centre"), F.col("node").alias("member"))
-    pools = known.select("centre", "member").union(knowing.select("centre", "member")).union(itself).distinct()
+    pools = known.select("centre", "member").union(knowing.select("centre", "member")).union(itself)
+    return pools.groupBy("centre").agg(F.sort_array(F.collect_set("member")).alias("members")).withColumn(
+        "mark", F.xxhash64("members"))
+
+
+def _descend(graph: DataFrame, pools: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
+    """One round of the descent: each of the pools is compared with itself.
+
+    Only pairs nearer than the worst neighbour a vector has leave the task.
+    """
     worst = graph.groupBy(F.col("node").alias("member")).agg(
         F.when(F.count(F.lit(1)) >= degree, F.min("sim")).otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
-    carried = vectors.select(F.col("node").alias("member"), "half").join(worst, "member", "left")
-    gathered = pools.join(carried, "member").groupBy("centre").agg(
-        F.collect_list(F.struct("member", "half", "least")).alias("pool"))
+    carried = vectors.select(F.col("node").alias("member"), "single").join(worst, "member", "left")
+    gathered = pools.select("centre", F.explode("members").alias("member")).join(carried, "member").groupBy(
+        "centre").agg(F.collect_list(F.struct("member", "single", "least")).alias("pool"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +155,7 @@ def _descend(graph: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
             nodes = flat.field("member").to_numpy()
             least = flat.field("least").to_numpy(zero_copy_only=False)
             least = np.where(np.isnan(least), -np.inf, least)
-            data = _matrix(flat.field("half"), np.float16).astype(np.float32)
+            data = _matrix(flat.field("single"), np.float32)
             for lo in range(0, batch.num_rows, 256):
                 out = []
                 for begin, end in zip(offsets[lo:lo + 256], offsets[lo + 1:lo + 257]):
@@ -164,34 +174,47 @@ def _descend(graph: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
 
 
 def neighbour_graph(vectors: DataFrame, size: int, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF,
-                    descents: int = DESCENTS, seed: int = 11) -> DataFrame:
-    """Links (node, other, sim) of the (node, half) vectors of `size` components."""
+                    seed: int = 11) -> DataFrame:
+    """Links (node, other, sim) of the (node, single) vectors of `size` components.
+
+    The descent ends when no pool has changed. A pool that has not changed is not compared again: all its pairs have
+    been offered, and the worst neighbour of a vector only gets nearer.
+    """
     count = vectors.count()
     graph = written_once(_tree_links(vectors, count, size, degree, trees, leaf, seed), "graph")
-    for _ in range(descents):
-        graph = written_once(_descend(graph, vectors, degree), "graph")
-    return graph
+    compared = None
+    while True:
+        pools = written_once(_pools(graph, vectors), "pools")
+        changed = pools if compared is None else pools.join(compared, ["centre", "mark"], "left_anti")
+        if changed.isEmpty():
+            return graph
+        graph = written_once(_descend(graph, changed, vectors, degree), "graph")
+        compared = pools.select("centre", "mark")
 
 
-def _search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, rounds: int, beam: int) -> DataFrame:
+def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) -> DataFrame:
     """Greedy search: links (node, other, sim) of the query nodes, from their own neighbours outwards.
 
     Each round looks up the neighbours of the nearest vectors not looked up yet, EXPANDED of them for each query,
-    and keeps the `beam` nearest; it ends when no query has any left, or after `rounds`.
+    and keeps the `beam` nearest by the inner product in double precision; it ends when no query has any left.
     """
-    state = written_once(
-        graph.join(queries, "node", "left_semi").select("node", "other", "sim", F.lit(False).alias("done")), "search")
-    half = vectors.select("node", "half")
-
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = _matrix(batch.column("a"), np.float16).astype(np.float32)
-            right = _matrix(batch.column("b"), np.float16).astype(np.float32)
+            left, right = (_matrix(batch.column(n), np.float64) for n in ("a", "b"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), batch.column("other"), pa.array(np.einsum("nd,nd->n", left, right))],
                 ["node", "other", "sim"])
 
-    for _ in range(rounds):
+    def measured(pairs: DataFrame) -> DataFrame:
+        """The (node, other) pairs with their inner products, none of them looked up yet."""
+        return (
+            pairs.join(nodes.select(F.col("node").alias("other"), F.col("packed").alias("b")), "other")
+            .join(nodes.withColumnRenamed("packed", "a"), "node").select("node", "other", "a", "b")
+            .mapInArrow(scored, "node long, other long, sim double").withColumn("done", F.lit(False))
+        )
+
+    state = written_once(measured(graph.join(queries, "node", "left_semi").select("node", "other")), "search")
+    while True:
         fresh = state.filter(~F.col("done"))
         order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
         picked = written_once(
@@ -204,11 +227,7 @@ def _search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, rounds: in
             .select("node", F.col("next").alias("other")).filter("node != other").distinct()
             .join(state, ["node", "other"], "left_anti")
         )
-        sims = (
-            reached.join(half.select(F.col("node").alias("other"), F.col("half").alias("b")), "other")
-            .join(half.withColumnRenamed("half", "a"), "node")
-            .mapInArrow(scored, "node long, other long, sim float").withColumn("done", F.lit(False))
-        )
+        sims = measured(reached)
         marked = state.join(picked.withColumn("_now", F.lit(True)), ["node", "other"], "left").select(
             "node", "other", "sim", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"))
         state = written_once(
@@ -229,18 +248,28 @@ def nearest_neighbours(embeddings: DataFrame, query_step: int = 20, count: int =
     first = rows.first()
     size = len(first["packed"]) // 8 if first else 1
 
-    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    nodes = written_once(rows.dropDuplicates(["node"]).select("node", "packed"), "nodes")
+
+    def greatest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = _matrix(batch.column("packed"), np.float64)
-            small = np.clip(data, -6e4, 6e4).astype(np.float16)
+            if batch.num_rows:
+                data = _matrix(batch.column("packed"), np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([float(np.abs(data).max())])], ["most"])
+
+    # one power of two for all vectors leaves their order as it is and keeps single precision within its range
+    most = nodes.select("packed").mapInArrow(greatest, "most double").agg(F.max("most")).first()[0] or 1.0
+    shift = -int(np.frexp(most)[1])
+
+    def singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small = np.ldexp(_matrix(batch.column("packed"), np.float64), shift).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([v.tobytes() for v in small], pa.binary())], ["node", "half"])
+                [batch.column("node"), pa.array([v.tobytes() for v in small], pa.binary())], ["node", "single"])
 
-    nodes = written_once(rows.dropDuplicates(["node"]).select("node", "packed"), "nodes")
-    vectors = written_once(nodes.mapInArrow(halves, "node long, half binary"), "half-vectors")
+    vectors = written_once(nodes.mapInArrow(singles, "node long, single binary"), "single-vectors")
     graph = neighbour_graph(vectors, size, **graph_options)
     queries = rows.filter(F.pmod("vec_id", F.lit(query_step)) == 0).select("vec_id", "node")
-    found = _search(queries.select("node").distinct(), graph, vectors, SEARCH_ROUNDS, BEAM)
+    found = _search(queries.select("node").distinct(), graph, nodes, BEAM)
     own = queries.select("node", F.col("node").alias("other")).distinct()
     candidates = found.union(own)
 

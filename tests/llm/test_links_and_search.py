@@ -194,3 +194,17 @@ def test_recall_with_small_leaves(spark):
         found[r.query_id].add(r.vec_id)
     recall = np.mean([len(found[q] & {j for _, j in n}) / 20 for q, n in expected.items()])
     assert recall >= 0.95
+
+
+@pytest.mark.parametrize("noise,scale", [(0.01, 1.0), (0.001, 1e-9)])
+def test_recall_in_a_group_of_near_copies(spark, noise, scale):
+    """Inner products that half precision cannot tell apart, in more vectors than a leaf holds."""
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal(32)
+    spread = rng.standard_normal((3000, 32)) * noise * np.linalg.norm(centre) / np.sqrt(32)
+    rows = [(i, v.tolist()) for i, v in enumerate((centre + spread) * scale)]
+    expected = brute_nearest(rows, 100, 20)
+    found = defaultdict(set)
+    for r in search(spark, rows, query_step=100, leaf=256):
+        found[r.query_id].add(r.vec_id)
+    assert np.mean([len(found[q] & {j for _, j in n}) / 20 for q, n in expected.items()]) >= 0.99
