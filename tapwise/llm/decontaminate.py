@@ -1,13 +1,15 @@
 """Benchmark decontamination by spaced seeds: word windows hashed through masks that ignore some positions."""
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapwise.llm.keys import KEY, key_columns, with_key
 from tapwise.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
 from tapwise.sources.folders import written_once
 
-MASKS = ("11011011", "11100111", "10111101")  # 1: the word counts, 0: it is ignored
-STRIDE = 2  # seeds start at every second word of a document, and at every word of a benchmark item
+MASKS = ("11001111", "11101011")  # 1: the word counts; any two unequal words of WINDOW leave one of them a seed
 WINDOW = 13  # words of the overlap that is verified
 PERCENT = 80  # of the window's words that must be equal
 
@@ -21,41 +23,67 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column, stride: int) -> Column:
+def masks_of(size: int) -> tuple[str, ...]:
+    """The masks for items of `size` words; one of them meets any overlap in which PERCENT of the words are equal.
+
+    MASKS slide over the items of WINDOW words and more. A shorter item is masked as a whole: with n words that may
+    differ it is cut into n + 2 blocks, and each mask leaves out n of them.
+    """
+    if size >= WINDOW:
+        return MASKS
+    spare = size - -(-size * PERCENT // 100)
+    blocks = spare + 2 if spare else 1
+    cuts = [size * k // blocks for k in range(blocks + 1)]
+    return tuple(
+        "".join(("0" if k in left_out else "1") * (cuts[k + 1] - cuts[k]) for k in range(blocks))
+        for left_out in combinations(range(blocks), spare))
+
+
+def _seeds(hashes: Column, masks: tuple[str, ...]) -> Column:
     """Hashes of all windows through each mask, the masks of one window side by side."""
-    span = len(MASKS[0])
+    span = len(masks[0])
 
     def masked(start: Column) -> Column:
         return F.array(*[
-            F.xxhash64(F.lit(m), *[F.get(hashes, start + k) for k, c in enumerate(mask) if c == "1"])
-            for m, mask in enumerate(MASKS)])
+            F.xxhash64(F.lit(m), *[F.get(hashes, start + k) for k, c in enumerate(m) if c == "1"])
+            for m in masks])
 
-    starts = F.sequence(F.lit(0), F.size(hashes) - span, F.lit(stride))
+    starts = F.sequence(F.lit(0), F.size(hashes) - span)
     return F.when(F.size(hashes) >= span, F.flatten(F.transform(starts, masked)))
 
 
+def _placed(rows: DataFrame, hashes: str, masks: tuple[str, ...], place: str) -> DataFrame:
+    """The seeds of each row with their place, its other columns kept."""
+    kept = [c for c in rows.columns if c != hashes]
+    return rows.select(*kept, F.posexplode(_seeds(F.col(hashes), masks)).alias("_at", "seed")).select(
+        *kept, "seed", F.expr(f"cast(_at div {len(masks)} as long)").alias(place))
+
+
 def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows (_key, _text_key, n_items, item_id, matched) of the documents that hold a benchmark passage.
 
     A passage is an overlap of WINDOW words (a shorter item: all of its words) on one alignment, of which at least
     PERCENT per cent are equal; `item_id` is the item of the best overlap (ties: the smallest) and `matched` its
-    equal words. Items of fewer words than a mask are no evidence and are left out; null and empty texts have no
-    words. Documents are keyed by content, see `keys`.
+    equal words. Null and empty texts have no words. Documents are keyed by content, see `keys`.
+    Seeds start at every word, and every such overlap has one; documents are searched only with the masks of the
+    item sizes that the benchmark has.
 
     Seeds of the documents stay in the map tasks where the benchmark's seeds fit the measured broadcast limit;
     beyond it AQE splits the partitions of frequent seeds. Hits are reduced to alignments before any text is
     fetched, so a passage that very many documents share costs a row for each of them.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _word_hashes(F.col("text")).alias("_item"))
-    items = written_once(items.filter(F.size("_item") >= len(MASKS[0])), "benchmark-items")
-    seeds = items.select("item_id", F.posexplode(_seeds(F.col("_item"), 1)).alias("_at", "seed")).select(
-        "seed", "item_id", F.expr(f"cast(_at div {len(MASKS)} as long)").alias("_item_at")).distinct()
-    seeds = written_once(seeds, "benchmark-seeds")
+    items = items.filter(F.size("_item") > 0).withColumn("_window", F.least(F.lit(WINDOW), F.size("_item")))
+    items = written_once(items, "benchmark-items")
+    windows = sorted(r["_window"] for r in items.select("_window").distinct().collect()) or [WINDOW]
+    seeds = reduce(DataFrame.union, [
+        _placed(items.filter(F.col("_window") == n).select("item_id", "_item"), "_item", masks_of(n), "_item_at")
+        for n in windows])
+    seeds = written_once(seeds.select("seed", "item_id", "_item_at").distinct(), "benchmark-seeds")
 
     keyed = with_key(documents)
     hashed = keyed.select(*KEY, _word_hashes(F.col("text")).alias("_words"))
-    placed = hashed.select(*KEY, F.posexplode(_seeds(F.col("_words"), STRIDE)).alias("_at", "seed"))
-    placed = placed.select(*KEY, "seed", F.expr(f"cast(_at div {len(MASKS)} * {STRIDE} as long)").alias("_start"))
+    placed = reduce(DataFrame.union, [_placed(hashed, "_words", masks_of(n), "_start") for n in windows])
     hits = lookup_join(placed, seeds, "seed").select(
         *KEY, "item_id", (F.col("_start") - F.col("_item_at")).alias("_shift")).distinct()
     hits = written_once(hits, "benchmark-hits")
@@ -67,11 +95,10 @@ def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     aligned = texts.join(hits, KEY).join(F.broadcast(items) if small else items.hint("merge"), "item_id")
     equal = F.transform(F.col("_item"), lambda w, at: F.coalesce(
         (F.get(F.col("_words"), (at + F.col("_shift")).cast("int")) == w).cast("int"), F.lit(0)))
-    window = F.least(F.lit(WINDOW), F.size("_item"))
     sums = F.transform(F.sequence(F.lit(0), F.size("_equal") - F.col("_window")), lambda at: F.aggregate(
         F.slice(F.col("_equal"), at + 1, F.col("_window")), F.lit(0), lambda a, b: a + b))
     best = (
-        aligned.select(*KEY, "item_id", equal.alias("_equal"), window.alias("_window"))
+        aligned.select(*KEY, "item_id", equal.alias("_equal"), "_window")
         .select(*KEY, "item_id", "_window", F.array_max(sums).alias("matched"))
         .filter(F.col("matched") * 100 >= F.col("_window") * PERCENT)
         .groupBy(*KEY, "item_id").agg(F.max("matched").alias("matched"))

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -273,6 +274,32 @@ def test_contamination_against_brute_force(spark):
     assert clean.columns == ["doc_id", "text", "seed"] and clean.count() == len(found) - 20
 
 
+def test_masks_meet_every_overlap():
+    for size in range(1, decontaminate.WINDOW + 1):
+        masks = decontaminate.masks_of(size)
+        for other in combinations(range(size), size - -(-size * decontaminate.PERCENT // 100)):
+            assert any(all(c == "0" or at + k not in other for k, c in enumerate(m))
+                       for m in masks for at in range(size - len(m) + 1)), (size, other)
+
+
+def test_short_passages_at_every_place_against_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    items = [(k, [word() for _ in range(1 + k % 16)]) for k in range(64)]
+    rows = []
+    for k in range(640):  # both parities, up to a quarter of the words replaced
+        passage = list(items[k % 64][1])
+        for at in rng.sample(range(len(passage)), rng.randrange(len(passage) // 4 + 1)):
+            passage[at] = word()
+        filler = [word() for _ in range(30)]
+        filler[5 + k // 64:5 + k // 64] = passage
+        rows.append((k, " ".join(filler)))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = decontaminate.flag_contaminated(spark.createDataFrame(rows, EMPTY), benchmark).collect()
+    expected = {i for i, t in rows if brute_contaminated(t, [w for _, w in items])}
+    assert {r.doc_id for r in found if r.contaminated} == expected and 400 < len(expected) < 640
+
+
 def test_nothing_to_decontaminate(spark, odd):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.flag_contaminated(odd, none).filter("contaminated").count() == 0
