@@ -13,7 +13,8 @@ from tapwise.sources.folders import written_once
 
 DEPTH = 3  # leading tokens that lead to a leaf
 FIELD = "<*>"
-MIN_TOKENS = 4  # shorter lines are too common to be templates
+MIN_TOKENS = 1  # any line that is not blank
+MASKED_TOKENS = 4  # shorter lines of nothing but fields are judged by their own text
 MIN_DOCUMENTS = 3  # documents a template recurs in
 CONSTANT = 0.6  # share of constant tokens a generalised template has at least
 PREVAILS = 0.5  # share of a leaf's lines that have the token of a constant position at least
@@ -27,6 +28,8 @@ def _masked(line: Column, digits: Column) -> Column:
     uneven = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
     spaced = F.trim(F.when(uneven, F.regexp_replace(line, "[ \t\r]+", " ")).otherwise(line))
     fields = F.regexp_replace(spaced, "(?<!\\S)[^\\s0-9]*+[0-9]\\S*", FIELD)
+    bare = (_tokens(fields) < MASKED_TOKENS) & (F.translate(fields, FIELD + " ", "") == "")
+    fields = F.when(bare, spaced).otherwise(fields)
     return F.when(digits & line.rlike("[0-9]"), fields).otherwise(spaced)
 
 
@@ -48,15 +51,18 @@ def _template(masked: Column) -> Column:
 
 
 def _leaf(masked: Column) -> Column:
-    return F.xxhash64(F.lit("leaf"), _tokens(masked), F.substring_index(masked, " ", DEPTH))
+    """The leaf of a masked line; for a line of DEPTH tokens or less that is its template."""
+    tokens = _tokens(masked)
+    return F.when(tokens <= DEPTH, _template(masked)).otherwise(
+        F.xxhash64(F.lit("leaf"), tokens, F.substring_index(masked, " ", DEPTH)))
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """Per document its masked lines that can be templates, with the order that finds the first document."""
+    """Per document its masked lines that are not blank, with the order that finds the first document."""
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("_key").alias("key"))
     rows = documents.select(*KEY, place.alias("_place"), "text", _has_digits(F.col("text")).alias("_digits"))
     masked = F.filter(F.transform(F.split("text", "\n"), lambda line: _masked(line, F.col("_digits"))),
-                      lambda m: _tokens(m) >= MIN_TOKENS)
+                      lambda m: m != "")
     return rows.select(*KEY, "_place", masked.alias("_masked"))
 
 
@@ -122,7 +128,7 @@ def recurring_lines(documents: DataFrame) -> DataFrame:
 def without_recurring_lines(documents: DataFrame) -> DataFrame:
     """The documents, all columns kept, without the lines of recurring templates, with n_lines and n_dropped.
 
-    Lines are cut at newlines; those below MIN_TOKENS tokens stay. A template recurs in MIN_DOCUMENTS documents or
+    Lines are cut at newlines; blank ones stay. A template recurs in MIN_DOCUMENTS documents or
     more; its lines stay in the first of them, the one with the smallest doc_id (null ids last, then by key), and
     are dropped everywhere else. A line that a document repeats is judged once: all its copies stay or go. Rows
     equal in doc_id and text are treated alike. A null text stays null and has no lines; an empty text has one.

@@ -349,6 +349,16 @@ def test_variable_fields_are_generalised(spark):
     assert line_templates.drop_recurring_lines(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_short_lines_recur(spark):
+    rows = [(k, f"own words of {k}{k}x\nAll rights reserved.\n\n今日は良い天気ですね\n{k}\n第{k}回です\nEnd") for k in range(4)]
+    found = {r.doc_id: r.text.split("\n") for r in line_templates.drop_recurring_lines(
+        spark.createDataFrame(rows, EMPTY)).collect()}
+    assert found[0] == rows[0][1].split("\n")
+    for k in range(1, 4):  # numbers, and lines without spaces that hold one, are no fields of one another
+        assert not {"All rights reserved.", "今日は良い天気ですね", "End"} & set(found[k])
+        assert {"", f"{k}", f"第{k}回です"} <= set(found[k])
+
+
 def test_other_columns_stay(spark, odd):
     df = odd.withColumn("n_lines", odd.score)
     kept = line_templates.without_recurring_lines(df)
