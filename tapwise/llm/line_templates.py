@@ -16,6 +16,9 @@ FIELD = "<*>"
 MIN_TOKENS = 1  # any line that is not blank
 MASKED_TOKENS = 4  # shorter lines of nothing but fields are judged by their own text
 MIN_DOCUMENTS = 3  # documents a template recurs in
+LONG_DOCUMENTS = 2  # documents a template of LONG_BYTES recurs in
+LONG_BYTES = 40  # besides its fields
+GENERALISED_DOCUMENTS = 3  # documents a generalised template recurs in
 CONSTANT = 0.6  # share of constant tokens a generalised template has at least
 PREVAILS = 0.5  # share of a leaf's lines that have the token of a constant position at least
 
@@ -67,7 +70,7 @@ def _lines(documents: DataFrame) -> DataFrame:
 
 
 def _frequent(lines: DataFrame) -> DataFrame:
-    """Hashes of templates and leaves that MIN_DOCUMENTS documents reach, with the first document.
+    """Hashes of templates and leaves that LONG_DOCUMENTS documents reach, with their number and the first document.
 
     Each document counts once for a hash; counts and minima are combined before the shuffle, so a line of a third
     of all documents costs a row per task.
@@ -76,8 +79,8 @@ def _frequent(lines: DataFrame) -> DataFrame:
     return (
         lines.select("_place", F.explode(hashes).alias("hash"))
         .groupBy("hash").agg(F.count(F.lit(1)).alias("_documents"), F.min("_place").alias("_first"))
-        .filter(F.col("_documents") >= MIN_DOCUMENTS)
-        .select("hash", F.col("_first.doc").alias("_doc"), F.col("_first.key").alias("_first_key"))
+        .filter(F.col("_documents") >= LONG_DOCUMENTS)
+        .select("hash", "_documents", F.col("_first.doc").alias("_doc"), F.col("_first.key").alias("_first_key"))
     )
 
 
@@ -85,7 +88,7 @@ def _generalised(lines: DataFrame) -> DataFrame:
     """Of (key, place, template, leaf, line) rows whose leaf recurs, those that fit the leaf's template.
 
     A position is constant where one token holds PREVAILS of the leaf's lines; a template needs CONSTANT of its
-    positions constant, and MIN_DOCUMENTS documents with lines that agree at all of them.
+    positions constant, and GENERALISED_DOCUMENTS documents with lines that agree at all of them.
     """
     tokens = lines.select("leaf", F.posexplode(F.split("line", " ")).alias("at", "token"))
     counted = tokens.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
@@ -101,7 +104,7 @@ def _generalised(lines: DataFrame) -> DataFrame:
         F.forall("constants", lambda c: F.get(parts, c["at"]) == c["token"]))
     firsts = fitting.groupBy("leaf").agg(
         F.min("_place").alias("_first"), F.count_distinct("_place").alias("_documents")
-    ).filter(F.col("_documents") >= MIN_DOCUMENTS).select("leaf", "_first")
+    ).filter(F.col("_documents") >= GENERALISED_DOCUMENTS).select("leaf", "_first")
     return fitting.join(firsts, "leaf").filter(F.col("_place") != F.col("_first")).select(*KEY, "template")
 
 
@@ -111,13 +114,18 @@ def recurring_lines(documents: DataFrame) -> DataFrame:
     frequent = written_once(_frequent(lines), "frequent-lines")
     each = lines.select(*KEY, "_place", F.explode(F.array_distinct("_masked")).alias("line")).select(
         "*", _template(F.col("line")).alias("template"), _leaf(F.col("line")).alias("leaf"))
-    by_template = frequent.select(F.col("hash").alias("template"), "_doc", "_first_key")
-    by_leaf = frequent.select(F.col("hash").alias("leaf"), F.lit(1).alias("_reached"))
+    by_template = frequent.select(F.col("hash").alias("template"), "_documents", "_doc", "_first_key")
+    by_leaf = frequent.select(F.col("hash").alias("leaf"), F.col("_documents").alias("_reached"))
     marked = lookup_join(lookup_join(each, by_leaf, "leaf"), by_template, "template", "left")
-    repeated = F.col("_doc").isNotNull()
+    repeated = F.col("_documents").isNotNull()
+    # two documents are enough for a long line; a shorter one of two is still a line of its leaf
+    long = F.octet_length(F.replace(F.col("line"), F.lit(FIELD), F.lit(""))) >= LONG_BYTES
+    recurs = (F.col("_documents") >= MIN_DOCUMENTS) | long
+    marked = marked.withColumn("_documents", F.when(recurs, F.col("_documents")))
+    marked = marked.filter(repeated | (F.col("_reached") >= GENERALISED_DOCUMENTS))
     # a recurring template reaches its leaf as often, so all its lines are among these
     marked = written_once(marked.select(
-        *KEY, "_place", "template", "leaf", "_doc", "_first_key", F.when(~repeated, F.col("line")).alias("line")),
+        *KEY, "_place", "template", "leaf", "_documents", "_doc", "_first_key", F.when(~repeated, F.col("line")).alias("line")),
         "marked-lines")
     first = (F.col("_place.doc") == F.col("_doc")) & (F.col("_place.key") == F.col("_first_key"))
     same = marked.filter(repeated & ~first).select(*KEY, "template")
@@ -129,7 +137,7 @@ def without_recurring_lines(documents: DataFrame) -> DataFrame:
     """The documents, all columns kept, without the lines of recurring templates, with n_lines and n_dropped.
 
     Lines are cut at newlines; blank ones stay. A template recurs in MIN_DOCUMENTS documents or
-    more; its lines stay in the first of them, the one with the smallest doc_id (null ids last, then by key), and
+    more, one of LONG_BYTES in LONG_DOCUMENTS; its lines stay in the first of them, the one with the smallest doc_id (null ids last, then by key), and
     are dropped everywhere else. A line that a document repeats is judged once: all its copies stay or go. Rows
     equal in doc_id and text are treated alike. A null text stays null and has no lines; an empty text has one.
     Columns named n_lines or n_dropped are replaced; other names may be anything without a leading underscore.

@@ -359,6 +359,13 @@ def test_short_lines_recur(spark):
         assert {"", f"{k}", f"第{k}回です"} <= set(found[k])
 
 
+def test_lines_of_two_documents_recur(spark):
+    line = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz" * 2)
+    rows = [(1, f"one\n{line}"), (2, f"two\n{line}\nmore"), (3, "a line with one field anna"), (4, "a line with one field bert")]
+    found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, EMPTY)).collect()
+    assert {r.doc_id: r.text for r in found} == {**dict(rows), 2: "two\nmore"}
+
+
 def test_other_columns_stay(spark, odd):
     df = odd.withColumn("n_lines", odd.score)
     kept = line_templates.without_recurring_lines(df)
