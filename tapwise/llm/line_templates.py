@@ -1,8 +1,8 @@
 """Line deduplication by a fixed-depth template tree over the lines of all documents.
 
 A line goes down the tree by its number of tokens and its leading tokens. Tokens with a digit are variable fields
-from the start. In each leaf that several documents reach, positions without a prevailing token become variable
-fields too. Lines of a template that recurs across documents are dropped but for its first document.
+from the start. In each leaf that several documents reach, lines that agree in their most frequent tokens are
+templates too, as many as the leaf has. Lines of a template that recurs across documents are dropped but for its first document.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,8 +19,7 @@ MIN_DOCUMENTS = 3  # documents a template recurs in
 LONG_DOCUMENTS = 2  # documents a template of LONG_BYTES recurs in
 LONG_BYTES = 40  # besides its fields
 GENERALISED_DOCUMENTS = 3  # documents a generalised template recurs in
-CONSTANT = 0.6  # share of constant tokens a generalised template has at least
-PREVAILS = 0.5  # share of a leaf's lines that have the token of a constant position at least
+CONSTANT = 0.6  # share of its tokens that are constant in a generalised template
 
 
 def _masked(line: Column, digits: Column) -> Column:
@@ -85,27 +84,29 @@ def _frequent(lines: DataFrame) -> DataFrame:
 
 
 def _generalised(lines: DataFrame) -> DataFrame:
-    """Of (key, place, template, leaf, line) rows whose leaf recurs, those that fit the leaf's template.
+    """Of (key, place, template, leaf, line) rows whose leaf recurs, those that fit one of the leaf's templates.
 
-    A position is constant where one token holds PREVAILS of the leaf's lines; a template needs CONSTANT of its
-    positions constant, and GENERALISED_DOCUMENTS documents with lines that agree at all of them.
+    A line's tokens are ranked by how many lines of the leaf have them in their position. Lines whose leading
+    CONSTANT of the tokens agree are a template if they stand in GENERALISED_DOCUMENTS documents; a leaf has any
+    number of them. Tokens too rare for that are dropped before lines are put together.
     """
-    tokens = lines.select("leaf", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    counted = tokens.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
-    positions = counted.groupBy("leaf", "at").agg(
-        F.max_by("token", F.struct("n", "token")).alias("token"), F.max("n").alias("most"), F.sum("n").alias("all"))
-    fixed = F.col("most") >= F.col("all") * PREVAILS
-    templates = positions.groupBy("leaf").agg(
-        F.array_sort(F.collect_list(F.when(fixed, F.struct("at", "token")))).alias("constants"),
-        F.count(F.lit(1)).alias("length"),
-    ).filter(F.size("constants") >= F.col("length") * CONSTANT).select("leaf", "constants")
-    parts = F.split("line", " ")
-    fitting = lines.join(templates, "leaf").filter(
-        F.forall("constants", lambda c: F.get(parts, c["at"]) == c["token"]))
-    firsts = fitting.groupBy("leaf").agg(
+    long = lines.filter(_tokens(F.col("line")) > DEPTH).withColumn("length", _tokens(F.col("line"))).distinct()
+    tokens = long.select(*KEY, "_place", "template", "leaf", "length", F.posexplode(F.split("line", " ")).alias(
+        "at", "token"))
+    counted = tokens.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") >= GENERALISED_DOCUMENTS)
+    counted = written_once(counted, "leaf-tokens")
+    ranked = lookup_join(tokens, counted, ["leaf", "at", "token"]).groupBy(
+        *KEY, "_place", "template", "leaf", "length").agg(
+            F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("order"), "at", "token"))).alias("ranked"))
+    needed = F.ceil(F.col("length") * CONSTANT).cast("int")
+    constants = F.transform(F.slice("ranked", 1, needed), lambda r: F.struct(r["at"], r["token"]))
+    fitting = written_once(ranked.filter(F.size("ranked") >= needed).select(
+        *KEY, "_place", "template", F.xxhash64("leaf", constants).alias("group")), "fitting-lines")
+    firsts = fitting.groupBy("group").agg(
         F.min("_place").alias("_first"), F.count_distinct("_place").alias("_documents")
-    ).filter(F.col("_documents") >= GENERALISED_DOCUMENTS).select("leaf", "_first")
-    return fitting.join(firsts, "leaf").filter(F.col("_place") != F.col("_first")).select(*KEY, "template")
+    ).filter(F.col("_documents") >= GENERALISED_DOCUMENTS).select("group", "_first")
+    return fitting.join(firsts, "group").filter(F.col("_place") != F.col("_first")).select(*KEY, "template")
 
 
 def recurring_lines(documents: DataFrame) -> DataFrame:

@@ -366,6 +366,17 @@ def test_lines_of_two_documents_recur(spark):
     assert {r.doc_id: r.text for r in found} == {**dict(rows), 2: "two\nmore"}
 
 
+def test_several_templates_in_one_leaf(spark):
+    names = ["anna", "bertil", "cesar", "david"]
+    made = ["This page was made by {} for all of us", "This page was last seen in {} on a monday",
+            "This page was lost when {} went home again today"]
+    rows = [(10 * j + k, m.format(n)) for j, m in enumerate(made) for k, n in enumerate(names)]
+    own = [(50 + k, "This page was " + " ".join(f"w{c}{'xyz'[k]}" for c in "abcdefg")) for k in range(3)]
+    found = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(
+        spark.createDataFrame(rows + own, EMPTY)).collect()}
+    assert {i for i, t in found.items() if t} == {0, 10, 20, 50, 51, 52}
+
+
 def test_other_columns_stay(spark, odd):
     df = odd.withColumn("n_lines", odd.score)
     kept = line_templates.without_recurring_lines(df)
