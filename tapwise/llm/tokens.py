@@ -30,13 +30,17 @@ class PieceEncoder(dict):
     A byte-level tokenizer never joins a word to the white space behind it, nor a letter to the stop or comma
     behind it, so a text may be cut there and the pieces encoded apart. Words repeat, so at most `memory` pieces
     are remembered. Null is the empty text.
+
+    With `added_tokens` the ids are those of the tokenizer as it is loaded: the text of an added token, such as
+    <|endoftext|>, is that token, and texts that hold one are encoded whole. Without, it is ordinary text.
     """
 
-    def __init__(self, path: str, memory: int = MEMORY_PIECES):
+    def __init__(self, path: str, memory: int = MEMORY_PIECES, added_tokens: bool = False):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.memory, self._letters = memory, _byte_letters()
         if self.encode(_PROBE) != self._whole(_PROBE):
@@ -61,7 +65,11 @@ class PieceEncoder(dict):
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as packed integers of `self.type`."""
-        return b"".join(map(self.__getitem__, _pieces(text))) if text else b""
+        if not text:
+            return b""
+        if any(token in text for token in self._added):
+            return self._whole(text)
+        return b"".join(map(self.__getitem__, _pieces(text)))
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -70,5 +78,5 @@ _encoders: dict[str, PieceEncoder] = {}
 def encoder(path: str) -> PieceEncoder:
     """The encoder of this Python process, whose memory serves all its tasks."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(path, added_tokens=True)
     return _encoders[path]

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from tapwise.llm import decontaminate, language, line_templates, ngram_join, packing, quality, shingles, token_files
 from tapwise.llm.keys import with_key
 from tapwise.llm.queries import QUERIES, held_out, tokenizer_path
-from tapwise.llm.tokens import PieceEncoder
+from tapwise.llm.tokens import PieceEncoder, encoder
 
 DATA = "/root/testdata/sf0.001"
 EMPTY = "doc_id long, text string"
@@ -61,6 +61,13 @@ def test_pieces_encode_like_whole_texts(tokenizer):
         assert np.frombuffer(known.encode(text), "<u2").tolist() == ids_of(tokenizer, text), repr(text)
 
 
+def test_added_tokens_are_encoded_as_the_loaded_tokenizer_does():
+    untouched = Tokenizer.from_file(tokenizer_path())
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "a <|endoftext| > b", "it's 12,5"):
+        ids = np.frombuffer(encoder(tokenizer_path()).encode(text), "<u2").tolist()
+        assert ids == ids_of(untouched, text), text
+
+
 def test_token_file_query(spark, docs, tokenizer):
     rows = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, DATA).collect()}
     start = 0
