@@ -27,7 +27,7 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_datetime64_any_dtype(df[column]):
             df[column] = df[column].astype("datetime64[us]")
         elif pd.api.types.is_integer_dtype(df[column]):
-            df[column] = df[column].astype("int64")
+            df[column] = df[column].astype("float64" if df[column].isna().any() else "int64")
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
