@@ -5,6 +5,9 @@ from the start. In each leaf that several documents reach, lines that agree in t
 templates too, as many as the leaf has. Lines of a template that recurs across documents are dropped but for its first document.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tapwise.llm.keys import KEY, key_columns, with_key
@@ -22,63 +25,62 @@ GENERALISED_DOCUMENTS = 3  # documents a generalised template recurs in
 CONSTANT = 0.6  # share of its tokens that are constant in a generalised template
 
 
-def _masked(line: Column, digits: Column) -> Column:
-    """The line with single spaces and FIELD for tokens with a digit; `digits` says whether its text has any.
+def _masked_lines(documents: DataFrame, text: str = "text") -> DataFrame:
+    """Add `_masked`, the lines of a text with single spaces and FIELD for tokens with a digit.
 
-    Most lines need neither, so plain searches decide before a pattern runs.
+    Patterns run over whole texts, not line by line, and only where a plain search finds something to change. Each step
+    is a projection of its own in generated code, so nothing is worked out twice.
     """
-    uneven = F.contains(line, F.lit("  ")) | F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r"))
-    spaced = F.trim(F.when(uneven, F.regexp_replace(line, "[ \t\r]+", " ")).otherwise(line))
-    fields = F.regexp_replace(spaced, "(?<!\\S)[^\\s0-9]*+[0-9]\\S*", FIELD)
-    bare = (_tokens(fields) < MASKED_TOKENS) & (F.translate(fields, FIELD + " ", "") == "")
-    fields = F.when(bare, spaced).otherwise(fields)
-    return F.when(digits & line.rlike("[0-9]"), fields).otherwise(spaced)
-
-
-def _has_digits(text: Column) -> Column:
-    return text.rlike("[0-9]")
+    uneven = reduce(or_, [F.contains(text, F.lit(s)) for s in ("  ", "\t", "\r")])
+    edges = F.contains("_even", F.lit(" \n")) | F.contains("_even", F.lit("\n "))
+    even = documents.withColumn("_even", F.when(uneven, F.regexp_replace(text, "[ \t\r]+", " ")).otherwise(F.col(text)))
+    even = even.withColumn("_even", F.trim(F.when(edges, F.regexp_replace("_even", " ?\n ?", "\n")).otherwise(F.col("_even"))))
+    fields = even.withColumn("_fields", F.when(
+        F.col("_even").rlike("[0-9]"), F.regexp_replace("_even", "(?<!\\S)[^\\s0-9]*+[0-9]\\S*", FIELD)).otherwise(F.col("_even")))
+    masks = [" ".join([FIELD] * n) for n in range(1, MASKED_TOKENS)]
+    bare = F.col("_fields").rlike(f"(?md)^(?:{'|'.join(m.replace('*', '[*]') for m in masks)})$")
+    split = fields.select(*documents.columns, "_even", "_fields", bare.alias("_bare"), F.split("_fields", "\n").alias("_split"))
+    own = F.transform("_split", lambda m, at: F.when(m.isin(*masks), F.get(F.col("_own"), at)).otherwise(m))
+    split = split.withColumn("_own", F.when(F.col("_bare"), F.split("_even", "\n")))
+    return split.select(*documents.columns, F.when(F.col("_bare"), own).otherwise(F.col("_split")).alias("_masked"))
 
 
 def _without_bytes(text: Column, part: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))
 
 
-def _tokens(masked: Column) -> Column:
-    """Number of tokens of a masked line."""
-    return _without_bytes(masked, " ") + 1
-
-
 def _template(masked: Column) -> Column:
     return F.xxhash64(F.lit("template"), masked)
 
 
-def _leaf(masked: Column) -> Column:
-    """The leaf of a masked line; for a line of DEPTH tokens or less that is its template."""
-    tokens = _tokens(masked)
-    return F.when(tokens <= DEPTH, _template(masked)).otherwise(
-        F.xxhash64(F.lit("leaf"), tokens, F.substring_index(masked, " ", DEPTH)))
-
-
 def _lines(documents: DataFrame) -> DataFrame:
-    """Per document its masked lines that are not blank, with the order that finds the first document."""
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("_key").alias("key"))
-    rows = documents.select(*KEY, place.alias("_place"), "text", _has_digits(F.col("text")).alias("_digits"))
-    masked = F.filter(F.transform(F.split("text", "\n"), lambda line: _masked(line, F.col("_digits"))),
-                      lambda m: m != "")
-    return rows.select(*KEY, "_place", masked.alias("_masked"))
+    """The different masked lines of each document that are not blank, with their tokens, template and leaf.
+
+    `_place` is the order that finds the first document. A line of DEPTH tokens or less is its own leaf. The lines are
+    written once; all later passes read the columns that they need.
+    """
+    rows = _masked_lines(with_key(documents).withColumn("_doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))))
+    lines = rows.select(*KEY, "_doc", F.explode(F.array_distinct("_masked")).alias("line")).filter(F.col("line") != "")
+    lines = lines.select(*KEY, "_doc", "line", (_without_bytes(F.col("line"), " ") + 1).alias("length"),
+                         _template(F.col("line")).alias("template"))
+    leaf = F.when(F.col("length") <= DEPTH, F.col("template")).otherwise(
+        F.xxhash64(F.lit("leaf"), "length", F.substring_index("line", " ", DEPTH)))
+    written = written_once(lines.withColumn("leaf", leaf), "masked-lines")
+    return written.withColumn("_place", F.struct(F.col("_doc").alias("doc"), F.col("_key").alias("key")))
 
 
 def _frequent(lines: DataFrame) -> DataFrame:
-    """Hashes of templates and leaves that LONG_DOCUMENTS documents reach, with their number and the first document.
+    """Hashes of templates and leaves that different documents reach, with their lines and the first document.
 
-    Each document counts once for a hash; counts and minima are combined before the shuffle, so a line of a third
-    of all documents costs a row per task.
+    A document has a template once, so that is the number of its documents. Counts and minima are combined before the
+    shuffle, so a line of a third of all documents costs a row per task.
     """
-    hashes = F.array_distinct(F.concat(F.transform("_masked", _template), F.transform("_masked", _leaf)))
+    hashes = F.when(F.col("leaf") == F.col("template"), F.array("template")).otherwise(F.array("template", "leaf"))
     return (
         lines.select("_place", F.explode(hashes).alias("hash"))
-        .groupBy("hash").agg(F.count(F.lit(1)).alias("_documents"), F.min("_place").alias("_first"))
-        .filter(F.col("_documents") >= LONG_DOCUMENTS)
+        .groupBy("hash").agg(F.count(F.lit(1)).alias("_documents"), F.min("_place").alias("_first"),
+                             F.max("_place").alias("_last"))
+        .filter(F.col("_first") != F.col("_last"))
         .select("hash", "_documents", F.col("_first.doc").alias("_doc"), F.col("_first.key").alias("_first_key"))
     )
 
@@ -90,7 +92,7 @@ def _generalised(lines: DataFrame) -> DataFrame:
     CONSTANT of the tokens agree are a template if they stand in GENERALISED_DOCUMENTS documents; a leaf has any
     number of them. Tokens too rare for that are dropped before lines are put together.
     """
-    long = lines.filter(_tokens(F.col("line")) > DEPTH).withColumn("length", _tokens(F.col("line"))).distinct()
+    long = lines.filter(F.col("length") > DEPTH).distinct()
     tokens = long.select(*KEY, "_place", "template", "leaf", "length", F.posexplode(F.split("line", " ")).alias(
         "at", "token"))
     counted = tokens.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n")).filter(
@@ -111,10 +113,9 @@ def _generalised(lines: DataFrame) -> DataFrame:
 
 def recurring_lines(documents: DataFrame) -> DataFrame:
     """Rows (_key, _text_key, templates): the templates whose lines each document loses."""
-    lines = _lines(with_key(documents))
+    lines = _lines(documents)
     frequent = written_once(_frequent(lines), "frequent-lines")
-    each = lines.select(*KEY, "_place", F.explode(F.array_distinct("_masked")).alias("line")).select(
-        "*", _template(F.col("line")).alias("template"), _leaf(F.col("line")).alias("leaf"))
+    each = lines.drop("_doc")
     by_template = frequent.select(F.col("hash").alias("template"), "_documents", "_doc", "_first_key")
     by_leaf = frequent.select(F.col("hash").alias("leaf"), F.col("_documents").alias("_reached"))
     marked = lookup_join(lookup_join(each, by_leaf, "leaf"), by_template, "template", "left")
@@ -126,11 +127,11 @@ def recurring_lines(documents: DataFrame) -> DataFrame:
     marked = marked.filter(repeated | (F.col("_reached") >= GENERALISED_DOCUMENTS))
     # a recurring template reaches its leaf as often, so all its lines are among these
     marked = written_once(marked.select(
-        *KEY, "_place", "template", "leaf", "_documents", "_doc", "_first_key", F.when(~repeated, F.col("line")).alias("line")),
-        "marked-lines")
+        *KEY, "_place", "template", "leaf", "_documents", "_doc", "_first_key", "length",
+        F.when(~repeated, F.col("line")).alias("line")), "marked-lines")
     first = (F.col("_place.doc") == F.col("_doc")) & (F.col("_place.key") == F.col("_first_key"))
     same = marked.filter(repeated & ~first).select(*KEY, "template")
-    other = _generalised(marked.filter(~repeated).select(*KEY, "_place", "template", "leaf", "line"))
+    other = _generalised(marked.filter(~repeated).select(*KEY, "_place", "template", "leaf", "length", "line"))
     return same.union(other).groupBy(*KEY).agg(F.collect_set("template").alias("templates"))
 
 
@@ -144,13 +145,16 @@ def without_recurring_lines(documents: DataFrame) -> DataFrame:
     Columns named n_lines or n_dropped are replaced; other names may be anything without a leading underscore.
     """
     drops = written_once(recurring_lines(documents), "dropped-lines")
-    lines, gone = F.split("text", "\n"), F.col("templates")
-    kept = F.filter(lines, lambda line: ~F.array_contains(gone, _template(_masked(line, F.lit(True)))))
+    gone, has_drops = F.col("templates"), F.col("templates").isNotNull()
     count = F.when(F.col("text").isNull(), 0).otherwise(_without_bytes(F.col("text"), "\n") + 1)
     row = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    others = F.struct(*[c for c in row if c != "text"]).alias("_row")
-    joined = documents.select(others, "text", *key_columns()).join(drops, KEY, "left").select(
-        "_row", "text", count.alias("n_lines"), F.when(gone.isNotNull(), kept).alias("_kept"))
+    others = F.struct(*[F.col(f"`{c}`") for c in row if c != "text"]).alias("_row")
+    joined = documents.select(others, "text", *key_columns()).join(drops, KEY, "left")
+    joined = _masked_lines(joined.withColumn("_judged", F.when(has_drops, F.col("text"))), "_judged")
+    stays = F.transform("_masked", lambda m: ~F.array_contains(gone, _template(m)))
+    joined = joined.select("_row", "text", count.alias("n_lines"), "_judged", stays.alias("_stays"))
+    kept = F.filter(F.split("_judged", "\n"), lambda line, at: F.get(F.col("_stays"), at))
+    joined = joined.select("_row", "text", "n_lines", kept.alias("_kept"))
     changed = F.struct(
         F.coalesce(F.array_join("_kept", "\n"), "text").alias("_text"), "n_lines",
         F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).alias("n_dropped"))
