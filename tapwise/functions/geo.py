@@ -16,4 +16,5 @@ def haversine_km(lat1, long1, lat2, long2) -> Column:
         F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(long2 - long1) / 2), 2)
     )
-    return EARTH_RADIUS_KM * 2 * F.atan2(F.sqrt(half_chord), F.sqrt(1 - half_chord))
+    rest = 1 - half_chord  # rounding can take it below zero between antipodes
+    return EARTH_RADIUS_KM * 2 * F.atan2(F.sqrt(half_chord), F.sqrt(F.when(rest < 0, 0.0).otherwise(rest)))

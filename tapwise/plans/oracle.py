@@ -180,8 +180,8 @@ ORACLE = {
     "stored_customers": f"{_with(_CUSTOMERS)} SELECT *, {_AGE} AS age FROM fx_customer",
     "stream_enrich": f"{_LIVE} SELECT * FROM live",
     "stream_split_sinks": (
-        f"{_ENRICH} SELECT cc_num, trans_time, max(distance) AS distance, max(age) AS age, true AS same_half"
-        " FROM enriched GROUP BY cc_num, trans_time"),
+        f"{_ENRICH} SELECT cc_num, trans_time, trans_num, distance, age, true AS same_half FROM enriched"
+        " QUALIFY row_number() OVER (PARTITION BY cc_num, trans_time ORDER BY trans_num DESC, amt DESC) = 1"),
     "stream_split_rule": (
         f'{_LIVE} SELECT * EXCLUDE ("partition", "offset"),'
         " CASE WHEN amt > 60000 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_fraud"

@@ -303,9 +303,12 @@ def stream_split_sinks(spark, folder):
     row = ["trans_num", "trans_time", "amt", "distance", "age"]
     batch = scored.select(*row, F.col("is_fraud").alias("_batch")).distinct()
     stored = tables.fraud_transactions().unionByName(tables.non_fraud_transactions()).join(batch, row)
-    # predictions may put copies of a card and time into both halves; each has its newest row
+    # predictions may put copies of a card and time into both halves, each with its newest row; one of the two is the
+    # newest of all copies
+    newest = F.struct("trans_num", "amt")
     return stored.groupBy("cc_num", "trans_time").agg(
-        F.max("distance").alias("distance"), F.max("age").alias("age"),
+        F.max_by("trans_num", newest).alias("trans_num"), F.max_by("distance", newest).alias("distance"),
+        F.max_by("age", newest).alias("age"),
         F.bool_and(F.col("is_fraud") == F.col("_batch")).alias("same_half"))
 
 

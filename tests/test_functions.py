@@ -21,6 +21,12 @@ def test_haversine_known_points(spark):
     assert far == pytest.approx(5837, abs=5)
 
 
+def test_haversine_between_antipodes_is_half_the_globe(spark):
+    points = spark.range(-90 * 7, 90 * 7).select((F.col("id") / 7).alias("a"), (F.col("id") * 0.27).alias("b"))
+    far = points.select(haversine_km("a", "b", -F.col("a"), F.col("b") + 180).alias("km")).collect()
+    assert all(r.km == pytest.approx(6371 * math.pi) for r in far)
+
+
 def test_haversine_is_null_without_a_coordinate(spark):
     assert one(spark, haversine_km(F.lit(None).cast("double"), F.lit(1.0), F.lit(1.0), F.lit(1.0))) is None
 

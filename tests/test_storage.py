@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tapwise.schemas import ENRICHED_COLUMNS, MESSAGE_FIELDS
 from tapwise.sources import derived
 from tapwise.sources.files import read_customers, read_labelled_transactions
 from tapwise.sources.folders import shared_folder
+from tapwise.sources.manifest import Manifest, Part
 from tapwise.sources.tables import CardTables
 from tapwise.sources.topics import write_message_files
 from tapwise.operators.transactions import encode_messages
@@ -239,3 +241,61 @@ def test_any_load_name_is_one_load(spark, tables):
     assert numbers(tables.transactions()) == ["../c", "a/b", "a=1", "new"]
     with pytest.raises(ValueError, match="name"):
         tables.write_transactions(enriched(spark, ("1", "1", 1, 0.0)), "")
+
+
+def test_a_writer_that_died_blocks_nobody(spark, tables, tmp_path):
+    tables.write_transactions(enriched(spark, ("1", "a", 1, 0.0)), "first")
+    manifest = tmp_path / "tables" / "transaction" / "manifest"
+    number = max(int(f.name) for f in manifest.iterdir() if f.name.isdigit())
+    (manifest / "_0123456789abcdef").write_text("[[")  # written aside, never renamed
+    (manifest / f"_claim-{number + 1:012d}").write_text("")
+    tables.write_transactions(enriched(spark, ("2", "b", 1, 0.0)), "second")
+    assert numbers(tables.transactions()) == ["a", "b"]
+    tables.truncate()
+    assert numbers(tables.transactions()) == []
+
+
+def test_racing_writers_lose_no_change(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    manifests = [Manifest(spark, path) for _ in range(4)]
+    errors = []
+
+    def write(writer):
+        try:
+            for k in range(8):
+                manifests[writer].change(lambda parts, k=k: [*parts, Part(f"{writer}-{k}", "folder")])
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=write, args=(w,)) for w in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors
+    loads = [p.load_id for p in Manifest(spark, path).parts()]
+    assert sorted(loads) == sorted(f"{w}-{k}" for w in range(4) for k in range(8))
+    for w in range(4):  # each writer's own changes are in order
+        assert [x for x in loads if x.startswith(f"{w}-")] == [f"{w}-{k}" for k in range(8)]
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    manifest = Manifest(spark, str(tmp_path / "manifest"))
+    calls = []
+
+    def overtaken(parts):
+        calls.append(len(parts))
+        if len(calls) == 1:  # somebody else is faster once
+            Manifest(spark, str(tmp_path / "manifest")).change(lambda p: [*p, Part("other", "x")])
+        return [*parts, Part("own", "y")]
+
+    assert [p.load_id for p in manifest.change(overtaken)] == ["other", "own"]
+    assert calls == [0, 1]
+    assert [f.name for f in (tmp_path / "manifest").iterdir() if f.name.startswith("_")] == []
+
+
+def test_a_change_that_is_always_overtaken_ends(spark, tmp_path, monkeypatch):
+    manifest = Manifest(spark, str(tmp_path / "manifest"))
+    monkeypatch.setattr(manifest, "_taken", lambda number, aside: False)
+    with pytest.raises(RuntimeError, match="overtook"):
+        manifest.change(lambda parts: parts)
