@@ -21,16 +21,22 @@ def with_age(customers: DataFrame, as_of=None, zone: str | None = None) -> DataF
     return customers.withColumn("age", age_years("dob", as_of, zone))
 
 
+def with_distance_and_age(joined: DataFrame, as_of=None, zone: str | None = None) -> DataFrame:
+    """Distance and age for rows joined to their customers, from `lat`, `long` and `dob`."""
+    return joined.withColumns({
+        "distance": F.round(haversine_km("lat", "long", "merch_lat", "merch_long"), 2),
+        "age": age_years("dob", as_of, zone),
+    })
+
+
 def _join_customers(transactions, customers, as_of, zone, broadcast_limit):
     """Inner join on the card, with distance and age. Unknown and null cards drop out.
 
     Age is worked out after the join, so a long-running stream never keeps a stale one.
     """
     places = customers.select("cc_num", "lat", "long", "dob")
-    return lookup_join(transactions, places, "cc_num", broadcast_limit=broadcast_limit).withColumns({
-        "distance": F.round(haversine_km("lat", "long", "merch_lat", "merch_long"), 2),
-        "age": age_years("dob", as_of, zone),
-    })
+    joined = lookup_join(transactions, places, "cc_num", broadcast_limit=broadcast_limit)
+    return with_distance_and_age(joined, as_of, zone)
 
 
 def enrich_transactions(transactions: DataFrame, customers: DataFrame, as_of=None, zone: str | None = None,

@@ -105,6 +105,37 @@ _LIVE = (
     f" FROM message), live AS (SELECT streamed.*, round({_distance()}, 2) AS distance, {_AGE} AS age"
     " FROM streamed JOIN (SELECT cc_num, lat, long, dob FROM fx_customer) USING (cc_num))")
 
+_TWO_LOADS = "PARTITION BY cc_num, trans_time ORDER BY amt > 30000 DESC, trans_num DESC, amt DESC"
+
+
+def _lloyd(rounds):
+    """Lloyd rounds as a chain of common table expressions; ties go to the first centre."""
+    parts = ["""
+point AS MATERIALIZED (
+  SELECT distance / 100.0::DOUBLE AS x, amt / 10000.0::DOUBLE AS y, age / 10.0::DOUBLE AS z, count(*) AS w
+  FROM enriched GROUP BY ALL
+), centre_0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY md5(trans_num), trans_num, amt) - 1 AS k, distance / 100.0::DOUBLE AS x,
+         amt / 10000.0::DOUBLE AS y, age / 10.0::DOUBLE AS z
+  FROM enriched ORDER BY k LIMIT 12
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+near_{r} AS (
+  SELECT p.x, p.y, p.z, any_value(p.w) AS w,
+         arg_min(c.k, (p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y) + (p.z - c.z) * (p.z - c.z) ORDER BY c.k) AS k
+  FROM point p CROSS JOIN centre_{r} c GROUP BY p.x, p.y, p.z
+)""")
+        if r < rounds:
+            parts.append(f"""
+centre_{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(sum(n.w * n.x) / sum(n.w), any_value(c.x)) AS x,
+         coalesce(sum(n.w * n.y) / sum(n.w), any_value(c.y)) AS y, coalesce(sum(n.w * n.z) / sum(n.w), any_value(c.z)) AS z
+  FROM centre_{r} c LEFT JOIN near_{r} n ON c.k = n.k GROUP BY c.k
+)""")
+    return ", ".join(parts)
+
+
 ORACLE = {
     "enrich_transactions": f"{_ENRICH} SELECT * FROM enriched",
     "normalize_transactions": f'{_with(_TRANSACTIONS)} SELECT * EXCLUDE ("partition", "offset") FROM clean',
@@ -126,6 +157,11 @@ ORACLE = {
     "card_history": (
         f"{_with(_TRANSACTIONS, _NEWEST)} SELECT cc_num, trans_time, trans_num, amt,"
         " row_number() OVER (PARTITION BY cc_num ORDER BY trans_time DESC, trans_num DESC) AS position FROM newest"),
+    "bucketed_history": (
+        f"{_with(_TRANSACTIONS)}, won AS (SELECT * FROM clean QUALIFY row_number() OVER ({_TWO_LOADS}) = 1)"
+        " SELECT cc_num, trans_time, trans_num, amt,"
+        " row_number() OVER (PARTITION BY cc_num ORDER BY trans_time DESC, trans_num DESC) AS position FROM won"),
+    "bucketed_enrich": f"{_ENRICH} SELECT * FROM enriched QUALIFY row_number() OVER ({_TWO_LOADS}) = 1",
     "offset_progress": (
         f'{_with(_TRANSACTIONS)} SELECT "partition", max("offset") AS "offset" FROM fx_txn GROUP BY "partition"'),
     "json_encode": (
@@ -169,6 +205,10 @@ ORACLE = {
     "kmeans_balance": (
         f"{_with(_TRANSACTIONS)} SELECT count(*) AS fraud_rows, true AS centres_bounded, true AS centres_inside"
         f" FROM fx_txn WHERE is_fraud = 1 AND {_ON_TRAIN_SIDE}"),
+    "kmeans_lloyd": (
+        f"{_ENRICH}, {_lloyd(4)} SELECT c.k AS centre, CAST(coalesce(sum(n.w), 0) AS BIGINT) AS rows,"
+        " round(any_value(c.x), 6) AS distance, round(any_value(c.y), 6) AS amt, round(any_value(c.z), 6) AS age"
+        " FROM centre_4 c LEFT JOIN near_4 n ON c.k = n.k GROUP BY c.k"),
     "rf_score": (
         f"{_with(_TRANSACTIONS)} SELECT trans_num, is_fraud, true AS predicted, true AS probable, true AS agrees"
         f" FROM fx_txn WHERE NOT {_ON_TRAIN_SIDE}"),

@@ -1,20 +1,24 @@
 """The registered queries: each operator over tables derived from a folder of Parquet files."""
 
+import uuid
+
+import numpy as np
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tapwise.functions import epoch_millis, haversine_km, wall_clock
-from tapwise.operators import features, keyed, metrics, model
+from tapwise.operators import features, keyed, kmeans, metrics, model
 from tapwise.operators.lookup import lookup_join
 from tapwise.operators.transactions import (
     decode_messages, enrich_stream, enrich_transactions, fraud_only, labelled_union, non_fraud_only,
-    normalize_transactions, split_predictions, with_age,
+    normalize_transactions, split_predictions, with_age, with_distance_and_age,
 )
 from tapwise.plans.bulk_load import bulk_load
 from tapwise.plans.training import train
 from tapwise.schemas import CUSTOMER_SCHEMA, ENRICHED_COLUMNS, LABELLED_SCHEMA, MODEL_COLUMNS
 from tapwise.sources import derived
+from tapwise.sources.bucketed import CardBuckets, CardTable
 from tapwise.sources.files import read_customers, read_labelled_transactions
 from tapwise.sources.folders import run_folder, written_once
 from tapwise.sources.tables import CardTables
@@ -93,6 +97,31 @@ def offset_progress(spark, folder):
     return keyed.offset_progress(derived.envelopes(spark, folder))
 
 
+def _card_buckets(spark, folder, rows):
+    """The rows in buckets of cards, merged in two loads; the second holds the larger amounts and wins."""
+    name, path = f"cards_{uuid.uuid4().hex}", run_folder(spark, "card-buckets")
+    buckets = CardBuckets(spark, name, path, rows.schema, ["trans_num", "amt"], buckets=16)
+    rows = written_once(rows, "card-rows")
+    buckets.merge(rows.filter("amt <= 30000"))
+    buckets.merge(rows.filter("amt > 30000"))
+    return buckets, f"{name}_customers", f"{path}/customers"
+
+
+def bucketed_history(spark, folder):
+    """Card history out of bucketed storage, last write wins across two loads."""
+    rows = _clean(spark, folder).select("cc_num", "trans_time", "trans_num", "amt")
+    return _card_buckets(spark, folder, rows)[0].history()
+
+
+def bucketed_enrich(spark, folder):
+    """The card join out of bucketed storage: enriched rows, last write wins across two loads."""
+    wanted = [c for c in ENRICHED_COLUMNS if c not in ("distance", "age")]
+    buckets, name, path = _card_buckets(spark, folder, _clean(spark, folder).select(*wanted))
+    cards = CardTable(spark, name, path, buckets=16)
+    cards.write(derived.customers(spark, folder).select("cc_num", "lat", "long", "dob"))
+    return with_distance_and_age(buckets.join_cards(cards), AS_OF).select(*ENRICHED_COLUMNS)
+
+
 # --- messages ---
 
 def json_encode(spark, folder):
@@ -225,6 +254,20 @@ def kmeans_balance(spark, folder):
         F.bool_and(~centre | inside).alias("centres_inside"))
 
 
+def kmeans_lloyd(spark, folder):
+    """Four Lloyd rounds over all rows from twelve rows that a hash picks: centres and the rows nearest to them."""
+    rows = _enriched(spark, folder).select(
+        "trans_num", "amt", F.array(F.col("distance") / 100, F.col("amt") / 10000, F.col("age") / 10).alias("point"))
+    picked = rows.orderBy(F.md5("trans_num"), "trans_num", "amt").limit(12).collect()
+    points = kmeans.weighted_points(rows, "point")
+    centres = kmeans.lloyd(points, np.array([r["point"] for r in picked]), rounds=4, tolerance=0.0)
+    weights = kmeans.lloyd_round(points, centres)[1]
+    found = [(k, int(w), *map(float, c)) for k, (w, c) in enumerate(zip(weights, centres))]
+    places = [F.round(c, 6).alias(c) for c in NUMBERS]
+    return spark.createDataFrame(found, "centre long, rows long, distance double, amt double, age double").select(
+        "centre", "rows", *places)
+
+
 def rf_score(spark, folder):
     """Hold-out rows and whether the forest's prediction and fraud probability are sound and agree."""
     trained = train(_model_rows(spark, folder), ROW_ID)
@@ -351,6 +394,8 @@ QUERIES = {
     "format_in_zone": format_in_zone,
     "latest_per_key": latest_per_key,
     "card_history": card_history,
+    "bucketed_history": bucketed_history,
+    "bucketed_enrich": bucketed_enrich,
     "offset_progress": offset_progress,
     "json_encode": json_encode,
     "json_decode": json_decode,
@@ -367,6 +412,7 @@ QUERIES = {
     "indexer_pipeline": indexer_pipeline,
     "holdout_split": holdout_split,
     "kmeans_balance": kmeans_balance,
+    "kmeans_lloyd": kmeans_lloyd,
     "rf_score": rf_score,
     "csv_customers": csv_customers,
     "csv_transactions": csv_transactions,
