@@ -212,6 +212,9 @@ ORACLE = {
     "rf_score": (
         f"{_with(_TRANSACTIONS)} SELECT trans_num, is_fraud, true AS predicted, true AS probable, true AS agrees"
         f" FROM fx_txn WHERE NOT {_ON_TRAIN_SIDE}"),
+    "forest_expression": (
+        f"{_with(_TRANSACTIONS)} SELECT trans_num, amt, true AS same_prediction, true AS same_chance"
+        f" FROM fx_txn WHERE NOT {_ON_TRAIN_SIDE}"),
     "csv_customers": f"{_with(_CUSTOMERS)} SELECT *, {_AGE} AS age FROM fx_customer",
     "csv_transactions": f'{_with(_TRANSACTIONS)} SELECT * EXCLUDE ("partition", "offset") FROM clean',
     "stored_transactions": (

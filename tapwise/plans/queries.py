@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapwise.functions import epoch_millis, haversine_km, wall_clock
 from tapwise.operators import features, keyed, kmeans, metrics, model
+from tapwise.operators.forest import score_columns
 from tapwise.operators.lookup import lookup_join
 from tapwise.operators.transactions import (
     decode_messages, enrich_stream, enrich_transactions, fraud_only, labelled_union, non_fraud_only,
@@ -278,6 +279,17 @@ def rf_score(spark, folder):
         ((F.col("prediction") == 1) == (chance > 0.5)).alias("agrees"))
 
 
+def forest_expression(spark, folder):
+    """Hold-out rows scored by the forest as column expressions, held against the library's own scoring."""
+    trained = train(_model_rows(spark, folder), ROW_ID)
+    scored = score_columns(trained.test_predictions.withColumnsRenamed(
+        {"prediction": "_prediction", "probability": "_probability"}), trained.features, trained.forest)
+    chance = vector_to_array("_probability")
+    return scored.select(
+        "trans_num", "amt", (F.col("is_fraud") == F.col("_prediction")).alias("same_prediction"),
+        (F.abs(F.col("probability")[1] - chance[1]) < 1e-12).alias("same_chance"))
+
+
 # --- files, stored tables and streams ---
 
 def csv_customers(spark, folder):
@@ -414,6 +426,7 @@ QUERIES = {
     "kmeans_balance": kmeans_balance,
     "kmeans_lloyd": kmeans_lloyd,
     "rf_score": rf_score,
+    "forest_expression": forest_expression,
     "csv_customers": csv_customers,
     "csv_transactions": csv_transactions,
     "stored_transactions": stored_transactions,
