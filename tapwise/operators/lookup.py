@@ -1,5 +1,7 @@
 """Joins of a large table to a lookup table by key."""
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_LIMIT_BYTES = 52_428_800  # fixed value: 50 MiB
@@ -23,7 +25,18 @@ def broadcast_bytes(df: DataFrame) -> int:
     return rows * fixed + text_bytes
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key, how: str = "inner",
+class MeasuredLookup(NamedTuple):
+    """A lookup table whose size is known, for joins that are made again and again."""
+
+    rows: DataFrame
+    bytes: int
+
+
+def measured(rows: DataFrame) -> MeasuredLookup:
+    return MeasuredLookup(rows, broadcast_bytes(rows))
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame | MeasuredLookup, key, how: str = "inner",
                 broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Join to a lookup table that has one row per key.
 
@@ -31,6 +44,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key, how: str = "inner",
     goes through a sort-merge join, where AQE splits the partitions of hot keys by size and repeats
     the matching lookup rows. Nothing downstream of that join may count on its partitioning.
     """
-    if broadcast_bytes(lookup) <= broadcast_limit:
-        return facts.join(F.broadcast(lookup), key, how)
-    return facts.join(lookup.hint("merge"), key, how)
+    if not isinstance(lookup, MeasuredLookup):
+        lookup = measured(lookup)
+    if lookup.bytes <= broadcast_limit:
+        return facts.join(F.broadcast(lookup.rows), key, how)
+    return facts.join(lookup.rows.hint("merge"), key, how)

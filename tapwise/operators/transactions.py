@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from tapwise.functions.geo import haversine_km
 from tapwise.functions.messages import message_json, parse_message
 from tapwise.functions.times import age_years, event_time, parse_time, wall_clock
-from tapwise.operators.lookup import BROADCAST_LIMIT_BYTES, lookup_join
+from tapwise.operators.lookup import BROADCAST_LIMIT_BYTES, MeasuredLookup, lookup_join
 from tapwise.schemas import ENRICHED_COLUMNS, STREAM_COLUMNS, TRAINING_COLUMNS, WIRE_NUMBERS
 
 
@@ -29,12 +29,17 @@ def with_distance_and_age(joined: DataFrame, as_of=None, zone: str | None = None
     })
 
 
+def customer_places(customers: DataFrame) -> DataFrame:
+    """What the card join needs of the customers."""
+    return customers.select("cc_num", "lat", "long", "dob")
+
+
 def _join_customers(transactions, customers, as_of, zone, broadcast_limit):
     """Inner join on the card, with distance and age. Unknown and null cards drop out.
 
     Age is worked out after the join, so a long-running stream never keeps a stale one.
     """
-    places = customers.select("cc_num", "lat", "long", "dob")
+    places = customers if isinstance(customers, MeasuredLookup) else customer_places(customers)
     joined = lookup_join(transactions, places, "cc_num", broadcast_limit=broadcast_limit)
     return with_distance_and_age(joined, as_of, zone)
 
@@ -46,10 +51,13 @@ def enrich_transactions(transactions: DataFrame, customers: DataFrame, as_of=Non
     return joined.select(*ENRICHED_COLUMNS)
 
 
-def enrich_stream(decoded: DataFrame, customers: DataFrame, as_of=None, zone: str | None = None,
+def enrich_stream(decoded: DataFrame, customers: DataFrame | MeasuredLookup, as_of=None, zone: str | None = None,
                   message_zone: str | None = None,
                   broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Decoded messages, streaming or not, with distance, customer age and topic position."""
+    """Decoded messages, streaming or not, with distance, customer age and topic position.
+
+    `customers` may be `customer_places` that were measured before.
+    """
     joined = _join_customers(decoded, customers, as_of, zone, broadcast_limit)
     return joined.select(*[
         parse_time(c, message_zone).alias(c) if c == "trans_time" else c for c in STREAM_COLUMNS

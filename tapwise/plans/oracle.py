@@ -164,6 +164,11 @@ ORACLE = {
     "bucketed_enrich": f"{_ENRICH} SELECT * FROM enriched QUALIFY row_number() OVER ({_TWO_LOADS}) = 1",
     "offset_progress": (
         f'{_with(_TRANSACTIONS)} SELECT "partition", max("offset") AS "offset" FROM fx_txn GROUP BY "partition"'),
+    "resumed_offsets": (
+        f'{_with(_TRANSACTIONS, _MESSAGES)}, stored AS (SELECT "partition" AS p, max("offset") AS o FROM message'
+        ' WHERE "offset" <= 20000 AND "partition" < 3 GROUP BY p)'
+        ' SELECT trans_num, amt, "partition", "offset" FROM message LEFT JOIN stored ON "partition" = p'
+        ' WHERE o IS NULL OR "offset" > o'),
     "json_encode": (
         f"{_with(_TRANSACTIONS, _MESSAGES)} SELECT trans_num, CAST(json_object("
         + ", ".join(f"'{c}', {c}" for c in (

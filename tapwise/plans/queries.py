@@ -23,6 +23,7 @@ from tapwise.sources.bucketed import CardBuckets, CardTable
 from tapwise.sources.files import read_customers, read_labelled_transactions
 from tapwise.sources.folders import run_folder, written_once
 from tapwise.sources.tables import CardTables
+from tapwise.sources.topics import behind_offsets
 from tapwise.streaming.scoring import score_messages, start_live_scoring
 from tapwise.streaming.sinks import write_to_files, write_to_tables
 
@@ -123,6 +124,16 @@ def bucketed_enrich(spark, folder):
     return with_distance_and_age(buckets.join_cards(cards), AS_OF).select(*ENRICHED_COLUMNS)
 
 
+def resumed_offsets(spark, folder):
+    """Messages that a new reader gets behind the offsets of a first load; partition 3 was not loaded yet."""
+    tables = CardTables(spark, run_folder(spark, "offset-table"))
+    tables.create()
+    messages = derived.envelopes(spark, folder).select("trans_num", "amt", "partition", "offset")
+    loaded = messages.filter("offset <= 20000 and partition < 3")
+    tables.write_offsets(keyed.offset_progress(loaded), "first")
+    return behind_offsets(messages, tables.offsets())
+
+
 # --- messages ---
 
 def json_encode(spark, folder):
@@ -409,6 +420,7 @@ QUERIES = {
     "bucketed_history": bucketed_history,
     "bucketed_enrich": bucketed_enrich,
     "offset_progress": offset_progress,
+    "resumed_offsets": resumed_offsets,
     "json_encode": json_encode,
     "json_decode": json_decode,
     "label_counts": label_counts,

@@ -7,7 +7,7 @@ from tapwise.plans import queries
 from tapwise.sources import derived
 from tapwise.sources.tables import CardTables
 from tapwise.sources.topics import read_envelope_files
-from tapwise.streaming.scoring import score_messages, start_live_scoring
+from tapwise.streaming.scoring import CustomerSide, score_messages, start_live_scoring
 from tapwise.streaming.sinks import write_to_files, write_to_tables
 from conftest import DATA
 
@@ -107,6 +107,50 @@ def test_customers_loaded_while_the_job_runs_are_seen(spark, topic, models, tmp_
         r.partition for r in spark.read.parquet(*topic).select("partition").distinct().collect()}
 
 
+def test_the_customer_side_is_read_once_for_each_version(spark, tables, monkeypatch):
+    read, plain = [], tables.customers
+    monkeypatch.setattr(tables, "customers", lambda: read.append(1) or plain())
+    side = CustomerSide(tables)
+    first = side.current()
+    assert side.current() is first and len(read) == 1
+    assert first.rows.storageLevel.useMemory and first.bytes > 0
+    before = first.rows.count()
+    changed = with_age(derived.customers(spark, DATA), queries.AS_OF).limit(1).withColumn("cc_num", F.lit("new"))
+    tables.write_customers(changed, "later")
+    assert side.current().rows.count() == before + 1 and len(read) == 2
+    assert not first.rows.storageLevel.useMemory  # given back
+    side.close()
+
+
+def test_batches_share_the_customer_side(spark, topic, models, tables, tmp_path, monkeypatch):
+    read, plain = [], tables.customers
+    monkeypatch.setattr(tables, "customers", lambda: read.append(1) or plain())
+    arriving = str(tmp_path / "arriving")
+    spark.read.parquet(topic[0]).write.mode("append").parquet(arriving)
+    query = start_live_scoring(read_envelope_files(spark, arriving), tables, *models[1], str(tmp_path / "cp"),
+                               as_of=queries.AS_OF)
+    try:
+        query.processAllAvailable()
+        spark.read.parquet(topic[1]).write.mode("append").parquet(arriving)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert len({r.load_id for r in tables._read("transaction").select("load_id").distinct().collect()}) == 2
+    assert len(read) == 1
+    assert rows(tables.transactions()) == expected_rows(spark, models, *topic)
+
+
+def test_the_newest_of_three_copies_decides(spark, tables):
+    """Copies of one card and time in both halves: each half has its newest, and one of these is the newest of all."""
+    start = "timestamp'2020-01-01 00:00:00'"
+    copies = spark.createDataFrame(
+        [("n1", 1.0, 0.0), ("n3", 2.0, 1.0), ("n2", 9.0, 0.0)], "trans_num string, amt double, is_fraud double")
+    copies = copies.selectExpr("'1' cc_num", "trans_num", f"{start} trans_time", "'c' category", "'m' merchant", "amt",
+                               "1d merch_lat", "1d merch_long", "amt distance", "1 age", "is_fraud")
+    tables.write_transactions(copies, "three")
+    assert [(r.trans_num, r.is_fraud) for r in tables.transactions().orderBy("trans_num").collect()] == [("n2", 0.0), ("n3", 1.0)]
+
+
 def test_a_repeated_batch_replaces_itself(spark, topic, models, tables):
     customers, (trained, _) = derived.customers(spark, DATA), models
     batch = score_messages(spark.read.parquet(topic[0]), customers, trained.features, trained.forest, as_of=queries.AS_OF)
