@@ -16,6 +16,8 @@ SAMPLE_CHARS = 40_000  # bound of the labelled text learned of each language
 SAMPLE_DOCUMENTS = 60  # bound of the labelled documents drawn for it
 LONGEST_SAMPLE = 20_000  # labelled documents above this many characters are not drawn
 SEGMENT = 256  # symbols parsed in one lane; a phrase ends with its segment
+ROWS = 1024  # texts whose symbols are held at a time
+LANES = 8192  # segments that are parsed side by side
 ALPHABET = 64
 GAP, UNKNOWN, PAD = 0, ALPHABET - 2, ALPHABET - 1
 MOST_BITS = 12.0  # a symbol; a text that needs more is in none of the languages
@@ -86,26 +88,30 @@ class Symbols:
 
 
 def phrase_counts(codes: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-    """Phrases of each text: segments of all texts are parsed side by side, one symbol of each at a time."""
-    lanes = [-(-len(c) // SEGMENT) for c in codes]
-    owner = np.repeat(np.arange(len(codes)), lanes)
-    grid = np.full((len(owner), SEGMENT), PAD, np.uint8)
-    begin = 0
-    for code, n in zip(codes, lanes):
-        grid[begin:begin + n].reshape(-1)[:len(code)] = code
-        begin += n
-    columns, flat = np.ascontiguousarray(grid.T).astype(np.int32), table.reshape(-1)
-    start = table[1]
-    state, phrases = np.ones(len(owner), np.int32), np.zeros(len(owner), np.int64)
-    for symbols in columns:
-        following = flat.take(state * ALPHABET + symbols)
-        failed = following == 0
-        # a phrase begins at the start state or where the one before cannot go on
-        phrases += (failed | (state == 1)) & (symbols != PAD)
-        # a symbol that no phrase begins with is a phrase of its own
-        following[failed] = np.maximum(start.take(symbols[failed]), 1)
-        state = following
-    return np.bincount(owner, phrases, len(codes))
+    """Phrases of each text: segments of all texts are parsed side by side, one symbol of each at a time.
+
+    LANES segments at a time are laid out, so memory does not follow the size of a batch or of a text.
+    """
+    lanes = [(owner, begin) for owner, code in enumerate(codes) for begin in range(0, len(code), SEGMENT)]
+    counts = np.zeros(len(codes), np.int64)
+    flat, start = table.reshape(-1), table[1]
+    for first in range(0, len(lanes), LANES):
+        some = lanes[first:first + LANES]
+        grid = np.full((len(some), SEGMENT), PAD, np.uint8)
+        for row, (owner, begin) in zip(grid, some):
+            part = codes[owner][begin:begin + SEGMENT]
+            row[:len(part)] = part
+        state, phrases = np.ones(len(some), np.int32), np.zeros(len(some), np.int64)
+        for symbols in np.ascontiguousarray(grid.T).astype(np.int32):
+            following = flat.take(state * ALPHABET + symbols)
+            failed = following == 0
+            # a phrase begins at the start state or where the one before cannot go on
+            phrases += (failed | (state == 1)) & (symbols != PAD)
+            # a symbol that no phrase begins with is a phrase of its own
+            following[failed] = np.maximum(start.take(symbols[failed]), 1)
+            state = following
+        np.add.at(counts, [owner for owner, _ in some], phrases)
+    return counts
 
 
 def learn_languages(labelled: DataFrame) -> dict[str, str]:
@@ -156,7 +162,7 @@ def identify_languages(documents: DataFrame, samples: dict[str, str]) -> DataFra
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, tables, bits = shared.value
         symbols = Symbols(letters)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             at = batch.schema.get_field_index("text")
             codes = [symbols.of(t.as_py() or "") for t in batch.column(at)]
             spoken = np.array([bool(c.any()) for c in codes], bool)
