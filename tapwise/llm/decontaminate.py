@@ -12,6 +12,7 @@ from tapwise.sources.folders import written_once
 MASKS = ("11001111", "11101011")  # 1: the word counts; any two unequal words of WINDOW leave one of them a seed
 WINDOW = 13  # words of the overlap that is verified
 PERCENT = 80  # of the window's words that must be equal
+LEAST_WORDS = 5  # shorter items stand in texts by chance; see `short_items`
 
 
 def words(text: Column) -> Column:
@@ -59,12 +60,20 @@ def _placed(rows: DataFrame, hashes: str, masks: tuple[str, ...], place: str) ->
         *kept, "seed", F.expr(f"cast(_at div {len(masks)} as long)").alias(place))
 
 
-def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def short_items(benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The items (item_id, text, n_words) of fewer words than are searched for, empty and null ones included."""
+    counted = benchmark.select("item_id", "text", F.coalesce(F.size(words(F.col("text"))), F.lit(0)).alias("n_words"))
+    return counted.withColumn("n_words", F.greatest("n_words", F.lit(0))).filter(F.col("n_words") < least_words)
+
+
+def contaminated_keys(documents: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Rows (_key, _text_key, n_items, item_id, matched) of the documents that hold a benchmark passage.
 
-    A passage is an overlap of WINDOW words (a shorter item: all of its words) on one alignment, of which at least
-    PERCENT per cent are equal; `item_id` is the item of the best overlap (ties: the smallest) and `matched` its
-    equal words. Null and empty texts have no words. Documents are keyed by content, see `keys`.
+    A passage is an overlap of WINDOW words (a shorter item: all of its words) on one alignment within the text, of
+    which at least PERCENT per cent are equal; `item_id` is the item of the best overlap (ties: the smallest id, null
+    last) and `matched` its equal words. Items of fewer than `least_words` words are not searched for, `short_items`
+    reports them. An item may have no id; items equal in id and text are one. Null and empty texts have no words.
+    Documents are keyed by content, see `keys`.
     Seeds start at every word, and every such overlap has one; documents are searched only with the masks of the
     item sizes that the benchmark has.
 
@@ -72,36 +81,42 @@ def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     beyond it AQE splits the partitions of frequent seeds. Hits are reduced to alignments before any text is
     fetched, so a passage that very many documents share costs a row for each of them.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _word_hashes(F.col("text")).alias("_item"))
-    items = items.filter(F.size("_item") > 0).withColumn("_window", F.least(F.lit(WINDOW), F.size("_item")))
+    item_id = F.col("item_id").cast("long")
+    items = benchmark.select(item_id.alias("item_id"), F.xxhash64(item_id, "text").alias("item"),
+                             _word_hashes(F.col("text")).alias("_item")).dropDuplicates(["item"])
+    items = items.filter(F.size("_item") >= max(1, least_words)).withColumn("_window", F.least(F.lit(WINDOW), F.size("_item")))
     items = written_once(items, "benchmark-items")
     windows = sorted(r["_window"] for r in items.select("_window").distinct().collect()) or [WINDOW]
     seeds = reduce(DataFrame.union, [
-        _placed(items.filter(F.col("_window") == n).select("item_id", "_item"), "_item", masks_of(n), "_item_at")
+        _placed(items.filter(F.col("_window") == n).select("item", "_item"), "_item", masks_of(n), "_item_at")
         for n in windows])
-    seeds = written_once(seeds.select("seed", "item_id", "_item_at").distinct(), "benchmark-seeds")
+    seeds = written_once(seeds.select("seed", "item", "_item_at").distinct(), "benchmark-seeds")
 
     keyed = with_key(documents)
     hashed = keyed.select(*KEY, _word_hashes(F.col("text")).alias("_words"))
     placed = reduce(DataFrame.union, [_placed(hashed, "_words", masks_of(n), "_start") for n in windows])
     hits = lookup_join(placed, seeds, "seed").select(
-        *KEY, "item_id", (F.col("_start") - F.col("_item_at")).alias("_shift")).distinct()
+        *KEY, "item", (F.col("_start") - F.col("_item_at")).alias("_shift")).distinct()
     hits = written_once(hits, "benchmark-hits")
 
     found = lookup_join(keyed.select(*KEY, "text"), hits.select(*KEY).distinct(), KEY).dropDuplicates(KEY)
     texts = found.select(*KEY, _word_hashes(F.col("text")).alias("_words"))
     measured = items.agg(F.coalesce(F.sum(F.size("_item") * 8 + 40), F.lit(0))).first()[0]
     small = measured <= BROADCAST_LIMIT_BYTES
-    aligned = texts.join(hits, KEY).join(F.broadcast(items) if small else items.hint("merge"), "item_id")
+    aligned = texts.join(hits, KEY).join(F.broadcast(items) if small else items.hint("merge"), "item")
     equal = F.transform(F.col("_item"), lambda w, at: F.coalesce(
         (F.get(F.col("_words"), (at + F.col("_shift")).cast("int")) == w).cast("int"), F.lit(0)))
-    sums = F.transform(F.sequence(F.lit(0), F.size("_equal") - F.col("_window")), lambda at: F.aggregate(
+    # windows that hang over an end of the text are no overlaps of their size
+    first = F.greatest(F.lit(0).cast("long"), -F.col("_shift")).cast("int")
+    last = F.least(F.size("_item").cast("long"), F.size("_words") - F.col("_shift")).cast("int") - F.col("_window")
+    sums = F.transform(F.sequence("_first", "_last"), lambda at: F.aggregate(
         F.slice(F.col("_equal"), at + 1, F.col("_window")), F.lit(0), lambda a, b: a + b))
     best = (
-        aligned.select(*KEY, "item_id", equal.alias("_equal"), "_window")
-        .select(*KEY, "item_id", "_window", F.array_max(sums).alias("matched"))
+        aligned.select(*KEY, "item", "item_id", equal.alias("_equal"), "_window", first.alias("_first"), last.alias("_last"))
+        .filter(F.col("_first") <= F.col("_last"))
+        .select(*KEY, "item", "item_id", "_window", F.array_max(sums).alias("matched"))
         .filter(F.col("matched") * 100 >= F.col("_window") * PERCENT)
-        .groupBy(*KEY, "item_id").agg(F.max("matched").alias("matched"))
+        .groupBy(*KEY, "item").agg(F.max("matched").alias("matched"), F.first("item_id").alias("item_id"))
     )
     return best.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n_items"),
@@ -109,9 +124,9 @@ def contaminated_keys(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max("matched").alias("matched"))
 
 
-def flag_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def flag_contaminated(documents: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Every document with `contaminated`, `n_items`, `item_id` and `matched` (see `contaminated_keys`)."""
-    flagged = written_once(contaminated_keys(documents, benchmark), "contaminated")
+    flagged = written_once(contaminated_keys(documents, benchmark, least_words), "contaminated")
     return lookup_join(with_key(documents).drop("text"), flagged, KEY, "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"), "item_id", "matched")
@@ -121,6 +136,6 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFram
     """The documents, all columns kept, that hold no benchmark passage."""
     flagged = written_once(contaminated_keys(documents, benchmark), "contaminated").select(
         *KEY, F.lit(True).alias("_flagged"))
-    row = F.struct(*documents.columns).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
     return lookup_join(documents.select(row, *key_columns()), flagged, KEY, "left").filter(
         F.col("_flagged").isNull()).select("_row.*")

@@ -190,7 +190,7 @@ def in_known_language(documents: DataFrame, samples: dict[str, str], most_bits:
     Rejected are `und` texts and those that need `most_bits` a symbol or more under the best language, which is a
     phrase for nearly every letter.
     """
-    others = F.struct(*[c for c in documents.columns if c != "text"]).alias("_row")
+    others = F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("_row")
     found = identify_languages(documents.select("text", others), samples)
     return found.filter((F.col("lang_pred") != "und") & (F.col("phrase_bits") < most_bits)).select(
         *[F.col(c) if c == "text" else F.col(f"_row.`{c}`") for c in documents.columns])

@@ -278,5 +278,5 @@ def keep_one_of_each(documents: DataFrame, words: int = 5, percent: int = 80) ->
     chosen = rows.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min(place).alias("p")).select("p.*")
     alone = rows.filter(F.col("label").isNull())
     keys = written_once(chosen.select(*KEY).union(alone.select(*KEY)).distinct(), "kept-keys")
-    row = F.struct(*documents.columns).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
     return documents.select(row, *key_columns()).join(keys, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")

@@ -26,6 +26,7 @@ from tapwise.llm.tokens import encoder
 
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCUMENTS = 1_000  # bound of the documents that the dictionary is trained on
+SAMPLE_CHARS = 16_384  # bound of the text that it is trained on of each of them
 SHARD_BYTES = 4 << 20  # a shard ends after the document that reaches this size
 
 SHARD_SCHEMA = ("part int, shard int, dictionary long, width int, doc_ids array<long>, starts array<long>, "
@@ -39,9 +40,16 @@ def with_end(ids: bytes, kind: str, end_id: int) -> bytes:
 
 def train_dictionary(documents: DataFrame, tokenizer: str, end_id: int, size: int = DICTIONARY_BYTES,
                      sample: int = SAMPLE_DOCUMENTS) -> bytes:
-    """A zstandard dictionary from the id arrays of `sample` documents chosen by a hash; empty for too few ids."""
-    draw = F.xxhash64(F.col("doc_id"), F.col("text"))
-    rows = documents.filter(F.length("text") > 0).select("text", draw.alias("_draw")).orderBy("_draw").limit(sample)
+    """A zstandard dictionary from the id arrays of `sample` documents chosen by a hash; empty for too few ids.
+
+    A hash threshold thins the documents out before the limit is applied, so tasks send no more than they must.
+    """
+    count = documents.count()
+    limit = min(1.0, 3.0 * sample / max(1, count))
+    draw = documents.filter(F.length("text") > 0).select(
+        F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("_draw"))
+    drawn = draw.filter(F.pmod("_draw", F.lit(1 << 20)) < int(limit * (1 << 20)) + 1)
+    rows = drawn.orderBy("_draw").limit(sample)
     known = encoder(tokenizer)
     arrays = [with_end(known.encode(r["text"]), known.type, end_id) for r in rows.collect()]
     total = sum(map(len, arrays))

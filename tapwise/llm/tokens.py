@@ -7,6 +7,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 MEMORY_PIECES = 600_000
+LONGEST_PIECE = 64  # characters of a piece that is remembered, so that the memory has a bound in bytes too
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # fixed values: the Unicode white space that tokenizers cut at; Python's own has four control characters more
@@ -29,7 +30,7 @@ class PieceEncoder(dict):
 
     A byte-level tokenizer never joins a word to the white space behind it, nor a letter to the stop or comma
     behind it, so a text may be cut there and the pieces encoded apart. Words repeat, so at most `memory` pieces
-    are remembered. Null is the empty text.
+    of LONGEST_PIECE characters or less are remembered. Null is the empty text.
 
     With `added_tokens` the ids are those of the tokenizer as it is loaded: the text of an added token, such as
     <|endoftext|>, is that token, and texts that hold one are encoded whole. Without, it is ordinary text.
@@ -58,9 +59,10 @@ class PieceEncoder(dict):
             ids = self._packed([t.id for t in self.tokenizer.model.tokenize(letters)])
         else:
             ids = self._whole(piece)
-        if len(self) >= self.memory:
-            self.clear()
-        self[piece] = ids
+        if len(piece) <= LONGEST_PIECE:
+            if len(self) >= self.memory:
+                self.clear()
+            self[piece] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:

@@ -302,9 +302,68 @@ def test_short_passages_at_every_place_against_brute_force(spark):
         filler[5 + k // 64:5 + k // 64] = passage
         rows.append((k, " ".join(filler)))
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
-    found = decontaminate.flag_contaminated(spark.createDataFrame(rows, EMPTY), benchmark).collect()
+    found = decontaminate.flag_contaminated(spark.createDataFrame(rows, EMPTY), benchmark, least_words=1).collect()
     expected = {i for i, t in rows if brute_contaminated(t, [w for _, w in items])}
     assert {r.doc_id for r in found if r.contaminated} == expected and 400 < len(expected) < 640
+    found = decontaminate.flag_contaminated(spark.createDataFrame(rows, EMPTY), benchmark).collect()
+    expected = {i for i, t in rows if brute_contaminated(t, [w for _, w in items if len(w) >= decontaminate.LEAST_WORDS])}
+    assert {r.doc_id for r in found if r.contaminated} == expected and 300 < len(expected) < 520
+
+
+def test_overlaps_lie_within_the_text(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    items = [(k, [word() for _ in range(20)]) for k in range(3)]
+    filler = [word() for _ in range(30)]
+    rows = []
+    for left_out in range(14):  # what is left of an item at the very beginning and end of a text, or alone
+        for at, text in enumerate(([*items[0][1][left_out:], *filler], [*filler, *items[1][1][:20 - left_out]],
+                                   items[2][1][left_out:], items[2][1][:20 - left_out])):
+            rows.append((left_out * 10 + at, " ".join(text)))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = decontaminate.flag_contaminated(spark.createDataFrame(rows, EMPTY), benchmark).collect()
+    expected = {i for i, t in rows if brute_contaminated(t, [w for _, w in items])}
+    assert {r.doc_id for r in found if r.contaminated} == expected
+    assert {i for i in expected if i % 10 == 2} == {k * 10 + 2 for k in range(8)}  # 13 words or more
+
+
+def test_items_without_id_and_of_equal_id_are_searched_for(spark):
+    passages = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(3)]
+    benchmark = spark.createDataFrame(
+        [(None, passages[0]), (7, passages[1]), (7, passages[2]), (7, passages[2]), (8, "yes"), (9, None), (10, " ")],
+        "item_id long, text string")
+    rows = [(k, f"before {p} after yes") for k, p in enumerate(passages)] + [(3, "yes and nothing else")]
+    found = {r.doc_id: (r.contaminated, r.n_items, r.item_id) for r in decontaminate.flag_contaminated(
+        spark.createDataFrame(rows, EMPTY), benchmark).collect()}
+    assert found == {0: (True, 1, None), 1: (True, 1, 7), 2: (True, 1, 7), 3: (False, 0, None)}
+    short = decontaminate.short_items(benchmark)
+    assert sorted((r.item_id, r.n_words) for r in short.collect()) == [(8, 1), (9, 0), (10, 0)]
+
+
+def test_names_with_a_dot_go_through_the_pipeline_stages(spark):
+    rows = spark.createDataFrame([(1, "some words that are only here", "x"), (2, None, "y")], EMPTY + ", `a.b` string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    for kept in (ngram_join.keep_one_of_each(rows), decontaminate.without_contaminated(rows, none),
+                 line_templates.without_recurring_lines(rows).drop("n_lines", "n_dropped"),
+                 language.in_known_language(rows, {"en": "some words that are only here " * 9}, 99.0)):
+        assert kept.columns == ["doc_id", "text", "a.b"]
+        assert {r["a.b"] for r in kept.collect()} <= {"x", "y"} and kept.filter("doc_id = 1").first()["a.b"] == "x"
+
+
+def test_long_pieces_are_not_remembered(tokenizer):
+    known = PieceEncoder(tokenizer_path())
+    text = "x" * 5000 + " " + "word " * 3 + "y" * 100
+    assert np.frombuffer(known.encode(text), "<u2").tolist() == ids_of(tokenizer, text)
+    assert max(map(len, known)) <= 64
+
+
+def test_phrases_are_counted_alike_in_any_slices(monkeypatch):
+    rng = np.random.default_rng(1)
+    table = language.suffix_automaton(rng.integers(0, 9, 500).astype(np.uint8))
+    codes = [rng.integers(0, 12, n).astype(np.uint8) for n in (0, 1, 255, 256, 257, 3000, 0, 9)]
+    whole = language.phrase_counts(codes, table).tolist()
+    monkeypatch.setattr(language, "LANES", 3)
+    assert language.phrase_counts(codes, table).tolist() == whole
 
 
 def test_nothing_to_decontaminate(spark, odd):
