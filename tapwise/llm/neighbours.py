@@ -18,7 +18,8 @@ REVERSE = 40  # vectors that know it, in the pool around it
 TREES = 8
 LEAF = 2048  # vectors compared exactly in a leaf
 BEAM = 80  # vectors that a query keeps
-EXPANDED = 24  # of them, those whose neighbours a round looks up
+EXPANDED = 80  # of them, those whose neighbours a round looks up
+CHANGED = 0.02  # share of the pools that may still have changed when the descent ends
 PLANES = 24  # hyperplanes that order the vectors of a tree
 
 
@@ -174,11 +175,12 @@ def _descend(graph: DataFrame, pools: DataFrame, vectors: DataFrame, degree: int
 
 
 def neighbour_graph(vectors: DataFrame, size: int, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF,
-                    seed: int = 11) -> DataFrame:
+                    seed: int = 11, changed_share: float = CHANGED) -> DataFrame:
     """Links (node, other, sim) of the (node, single) vectors of `size` components.
 
-    The descent ends when no pool has changed. A pool that has not changed is not compared again: all its pairs have
-    been offered, and the worst neighbour of a vector only gets nearer.
+    The descent ends when at most `changed_share` of the pools have changed in a round, with 0 when none has. A pool that
+    has not changed is not compared again: all its pairs have been offered, and the worst neighbour of a vector only gets
+    nearer.
     """
     count = vectors.count()
     graph = written_once(_tree_links(vectors, count, size, degree, trees, leaf, seed), "graph")
@@ -186,7 +188,7 @@ def neighbour_graph(vectors: DataFrame, size: int, degree: int = DEGREE, trees:
     while True:
         pools = written_once(_pools(graph, vectors), "pools")
         changed = pools if compared is None else pools.join(compared, ["centre", "mark"], "left_anti")
-        if changed.isEmpty():
+        if changed.count() <= changed_share * count:
             return graph
         graph = written_once(_descend(graph, changed, vectors, degree), "graph")
         compared = pools.select("centre", "mark")
