@@ -1,0 +1,165 @@
+"""Whole operators against plain versions that hold all rows at once."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tapwise.llm import line_templates, packing, quality
+from tapwise.llm.queries import tokenizer_path
+
+TEXTS = "doc_id long, text string"
+
+
+# --- packing: the order along the curve ---
+
+def test_documents_follow_their_curve_keys(spark):
+    rng = random.Random(3)
+    topics = [[f"{a}{b}" for b in ("alpha", "beta", "gamma", "delta", "mu", "nu")] for a in "abcdefgh"]
+    rows = [(k, " ".join(rng.choice(topics[k % 8]) for _ in range(rng.randrange(30, 300)))) for k in range(160)]
+    rows += [(k, None if k % 2 else "") for k in range(160, 170)] + [(None, "no id")]
+    pieces = packing.pack_along_curve(spark.createDataFrame(rows, TEXTS).repartition(5), tokenizer_path()).collect()
+    known, projection = packing.encoder(tokenizer_path()), packing.curve_projection()
+    keys = {}
+    for doc_id, text in rows:
+        ids = np.frombuffer(packing.with_end(known.encode(text), known.type, 1), known.type)
+        cell = packing.document_cell(ids, projection)
+        keys[doc_id] = int(packing.hilbert_key(cell.reshape(1, -1), packing.BITS)[0])
+    firsts = sorted((p.sequence_id, p.offset, p.doc_id) for p in pieces if p.start == 0)
+    along = [doc_id for *_, doc_id in firsts]
+    assert along == sorted(keys, key=lambda d: (keys[d], d is not None, d or 0))
+    # documents of one topic lie closer together than chance would have it
+    same = sum(a % 8 == b % 8 for a, b in zip(along, along[1:]) if None not in (a, b) and max(a, b) < 160)
+    assert same > 60
+
+
+# --- quality: EM document by document, and the scorer's own arithmetic ---
+
+def plain_posteriors(votes):
+    """The same model, fitted on each document by itself and written with loops."""
+    good, bad, names = quality.GOOD, quality.BAD, range(len(quality.LABELLERS))
+    pseudo = max(1.0, quality.PRIOR_SHARE * len(votes))
+    share = 0.5
+    right = {c: [float(quality.PRIOR_ACCURACY[c][0])] * len(names) for c in (0, 1)}
+    for _ in range(quality.EM_ROUNDS):
+        posterior = []
+        for row in votes:
+            odds = math.log(share / (1 - share))
+            for j in names:
+                if row[j] == good:
+                    odds += math.log(right[1][j] / (1 - right[0][j]))
+                elif row[j] == bad:
+                    odds += math.log((1 - right[1][j]) / right[0][j])
+            posterior.append(1 / (1 + math.exp(-max(-50, min(50, odds)))))
+        for label, vote, chance in ((1, good, posterior), (0, bad, [1 - p for p in posterior])):
+            for j in names:
+                hits = sum(p for p, row in zip(chance, votes) if row[j] == vote)
+                cast = sum(p for p, row in zip(chance, votes) if row[j] != quality.ABSTAIN)
+                right[label][j] = (hits + pseudo * float(quality.PRIOR_ACCURACY[label][0])) / (cast + pseudo)
+        share = (sum(posterior) + pseudo * 0.5) / (len(votes) + pseudo)
+    return posterior
+
+
+def test_quality_equals_a_plain_label_model(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(None, None), (1, ""), (2, " \n"), (3, "|| ## || ## " * 9), (3, "|| ## || ## " * 9)]
+    found = quality.score_quality(spark.createDataFrame(rows, TEXTS).repartition(4)).collect()
+    votes = [quality.labels_of(text) for _, text in rows]
+    expected = Counter((doc_id, "".join("-bg"[v] for v in row), round(p, 9))
+                       for (doc_id, _), row, p in zip(rows, votes, plain_posteriors(votes)))
+    assert Counter((r.doc_id, r.votes, round(r.posterior, 9)) for r in found) == expected
+    assert all(r.keep == ((r.posterior + r.score) / 2 >= 0.5) for r in found)
+
+
+def test_the_scorer_minimises_its_loss(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["clean", "words", "make", "prose", "here"]) + "." * (rng.random() < 0.1) for _ in range(60))
+             for _ in range(40)] + ["| ## %% " * rng.randrange(20, 60) for _ in range(40)]
+    posteriors = {sum(v * 3 ** j for j, v in enumerate(quality.labels_of(t))): float(k < 40) for k, t in enumerate(texts)}
+    weights = quality._fit([{"text": t} for t in texts], posteriors)
+
+    def score(text):
+        counts = Counter((h >> 40) % quality.BUCKETS for h in quality.word_hashes(text)[0].tolist())
+        values = {b: math.log1p(n) for b, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        return sum(weights[b] * v / norm for b, v in values.items()) + weights[-1]
+
+    assert min(map(score, texts[:40])) > 0 > max(map(score, texts[40:]))
+    rows = spark.createDataFrame(list(enumerate(texts)), TEXTS)
+    for r in quality.score_quality(rows).collect():
+        assert 0 <= r.score <= 1
+
+
+# --- line templates: exact, generalised and those of two documents ---
+
+def plain_templates(rows):
+    """The documents without recurring lines, by the rules of the docstrings, one table of all lines at a time."""
+    def mask(line):
+        tokens = [t for t in re.split("[ \t\r]+", line) if t]
+        masked = [line_templates.FIELD if re.search("[0-9]", t) else t for t in tokens]
+        bare = 0 < len(masked) < line_templates.MASKED_TOKENS and set(masked) == {line_templates.FIELD}
+        return tuple(tokens if bare else masked)
+
+    def order(at):
+        return (rows[at][0] is None, rows[at][0] or 0)
+
+    homes = defaultdict(set)
+    for at, (_, text) in enumerate(rows):
+        for line in (text or "").split("\n"):
+            if mask(line):
+                homes[mask(line)].add(at)
+
+    def recurs(line):
+        size = len(" ".join(line).replace(line_templates.FIELD, "").encode())
+        least = line_templates.LONG_DOCUMENTS if size >= line_templates.LONG_BYTES else line_templates.MIN_DOCUMENTS
+        return len(homes[line]) >= least
+
+    dropped = {(at, line) for line in homes if recurs(line) for at in homes[line] if at != min(homes[line], key=order)}
+    depth = line_templates.DEPTH
+    rare = [(line, at) for line in homes if not recurs(line) and len(line) > depth for at in homes[line]]
+    leaf = lambda line: (len(line), line[:depth])
+    counts = Counter((leaf(line), k, token) for line, _ in rare for k, token in enumerate(line))
+    groups = defaultdict(set)
+    for line, at in rare:
+        ranked = sorted((-counts[leaf(line), k, t], k, t) for k, t in enumerate(line)
+                        if counts[leaf(line), k, t] >= line_templates.GENERALISED_DOCUMENTS)
+        needed = math.ceil(len(line) * line_templates.CONSTANT)
+        if len(ranked) >= needed:
+            groups[leaf(line), tuple(r[1:] for r in ranked[:needed])].add((at, line))
+    for lines in groups.values():
+        places = {at for at, _ in lines}
+        if len(places) >= line_templates.GENERALISED_DOCUMENTS:
+            first = min(places, key=order)
+            dropped |= {(at, line) for at, line in lines if at != first}
+    return Counter((doc_id, text and "\n".join(x for x in text.split("\n") if (at, mask(x)) not in dropped))
+                   for at, (doc_id, text) in enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_of_every_kind_against_plain_ones(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(3))
+    kinds = [
+        lambda k: f"You are user {word()} of the great archive of {rng.choice(['maps', 'books'])}",  # two in one leaf
+        lambda k: f"You are user {word()} in a small shop that sells {word()}",
+        lambda k: f"Page {rng.randrange(90)} of {rng.randrange(90)}",
+        lambda k: f"{rng.randrange(9)} {rng.randrange(3)}",  # nothing but fields
+        lambda k: "All rights reserved.",
+        lambda k: "one long line that stands in no more than a few of all documents " + "abcdefghijkl"[k // 2 % 12],
+        lambda k: f"  spaced\t {word()}   out \r",
+        lambda k: " ".join(word() for _ in range(rng.randrange(1, 9))),
+        lambda k: "",
+    ]
+    rows = []
+    for k in range(70):
+        lines = [rng.choice(kinds)(k) for _ in range(rng.randrange(1, 9))]
+        rows.append((k, "\n".join(lines + lines[:k % 3])))
+    rows += [(None, "All rights reserved.\nno id"), (200, None), (201, ""), (202, "Seite 3 von 4\n\n")]
+    rng.shuffle(rows)
+    found = line_templates.drop_recurring_lines(spark.createDataFrame(rows, TEXTS).repartition(4)).collect()
+    expected = plain_templates(rows)
+    assert Counter((r.doc_id, r.text) for r in found) == expected
+    assert sum(r.n_dropped for r in found) > 60
