@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by inner product: NN-descent builds a graph, queries search it greedily.
 
 The graph starts from random hyperplane trees, whose leaves are compared exactly, and is refined by joining the
-neighbours of neighbours: around each vector, all that know it or that it knows are compared with one another, until
-no pool changes. The graph is built in single precision; queries search it in double precision.
+neighbours of neighbours: around each vector, all that know it or that it knows are compared with those of them that
+are new there, until few pools gain members. The graph is built in single precision; queries search it in double precision.
 """
 
 from collections.abc import Iterator
@@ -18,16 +18,19 @@ REVERSE = 40  # vectors that know it, in the pool around it
 TREES = 8
 LEAF = 2048  # vectors compared exactly in a leaf
 BEAM = 80  # vectors that a query keeps
-EXPANDED = 80  # of them, those whose neighbours a round looks up
-CHANGED = 0.02  # share of the pools that may still have changed when the descent ends
+CHANGED = 0.02  # share of the pools that may still have gained members when the descent ends
 PLANES = 24  # hyperplanes that order the vectors of a tree
 
 
 def _best(rows: DataFrame, key: str, other: str, count: int) -> DataFrame:
-    """The `count` best of (key, other, sim), each pair once; ranks are cut in the map tasks first."""
+    """The `count` best of (key, other, sim), each pair once, with their place from 1."""
+    return _nearest(rows.groupBy(key, other).agg(F.max("sim").alias("sim")), key, other, count)
+
+
+def _nearest(rows: DataFrame, key: str, other: str, count: int) -> DataFrame:
+    """The same of pairs that are distinct already; ranks are cut in the map tasks first."""
     order = Window.partitionBy(key).orderBy(F.desc("sim"), other)
-    once = rows.groupBy(key, other).agg(F.max("sim").alias("sim"))
-    return once.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= count).drop("_rank")
+    return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= count)
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -101,8 +104,9 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
             yield from map(compare, leaves(rest, True)[0])
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        nodes = rows.column("node").to_numpy()
-        data = _matrix(rows.column("single").combine_chunks(), np.float32)
+        # a leaf across the borders of small trees may hold a vector several times
+        nodes, first = np.unique(rows.column("node").to_numpy(), return_index=True)
+        data = _matrix(rows.column("single").combine_chunks().take(pa.array(first)), np.float32)
         keep, out = min(degree + 1, len(nodes)), []
         for begin in range(0, len(nodes), 512):
             sims = data[begin:begin + 512] @ data.T
@@ -110,7 +114,7 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
                 np.arange(len(nodes)), (len(sims), 1))
             left = np.repeat(np.arange(begin, begin + len(sims)), keep)
             right = top.reshape(-1)
-            differ = nodes[left] != nodes[right]  # a leaf at the border of two trees may hold a vector twice
+            differ = left != right
             out.append((nodes[left][differ], nodes[right][differ],
                         sims[left - begin, right][differ]))
         node, other, sim = (np.concatenate(c) for c in zip(*out))
@@ -125,29 +129,29 @@ def _tree_links(vectors: DataFrame, count: int, size: int, degree: int, trees: i
 
 
 def _pools(graph: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Rows (centre, members, mark): each vector's neighbours and the nearest of those whose neighbour it is.
+    """Rows (centre, members): each vector's neighbours and the nearest of those whose neighbour it is.
 
-    A pool is bounded however many vectors know its centre. Pools of equal members have equal marks.
+    A pool is bounded however many vectors know its centre.
     """
     known = graph.select(F.col("node").alias("centre"), F.col("other").alias("member"), "sim")
-    knowing = _best(graph.select(F.col("other").alias("centre"), F.col("node").alias("member"), "sim"),
-                    "centre", "member", REVERSE)
+    knowing = _nearest(graph.select(F.col("other").alias("centre"), F.col("node").alias("member"), "sim"),
+                       "centre", "member", REVERSE)
     itself = vectors.select(F.col("node").alias("centre"), F.col("node").alias("member"))
     pools = known.select("centre", "member").union(knowing.select("centre", "member")).union(itself)
-    return pools.groupBy("centre").agg(F.sort_array(F.collect_set("member")).alias("members")).withColumn(
-        "mark", F.xxhash64("members"))
+    return pools.groupBy("centre").agg(F.collect_set("member").alias("members"))
 
 
 def _descend(graph: DataFrame, pools: DataFrame, vectors: DataFrame, degree: int) -> DataFrame:
-    """One round of the descent: each of the pools is compared with itself.
+    """One round of the descent: the new members of each pool are compared with all its members.
 
     Only pairs nearer than the worst neighbour a vector has leave the task.
     """
-    worst = graph.groupBy(F.col("node").alias("member")).agg(
-        F.when(F.count(F.lit(1)) >= degree, F.min("sim")).otherwise(F.lit(float("-inf"))).cast("float").alias("least"))
+    worst = graph.filter(F.col("place") == degree).select(F.col("node").alias("member"), F.col("sim").alias("least"))
     carried = vectors.select(F.col("node").alias("member"), "single").join(worst, "member", "left")
-    gathered = pools.select("centre", F.explode("members").alias("member")).join(carried, "member").groupBy(
-        "centre").agg(F.collect_list(F.struct("member", "single", "least")).alias("pool"))
+    members = pools.select("centre", F.explode(F.transform("members", lambda m: F.struct(
+        m.alias("member"), F.array_contains("fresh", m).alias("new")))).alias("_m")).select("centre", "_m.*")
+    gathered = members.join(carried, "member").groupBy("centre").agg(
+        F.collect_list(F.struct("member", "single", "least", "new")).alias("pool"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,49 +160,55 @@ def _descend(graph: DataFrame, pools: DataFrame, vectors: DataFrame, degree: int
             nodes = flat.field("member").to_numpy()
             least = flat.field("least").to_numpy(zero_copy_only=False)
             least = np.where(np.isnan(least), -np.inf, least)
+            new = flat.field("new").to_numpy(zero_copy_only=False)
             data = _matrix(flat.field("single"), np.float32)
             for lo in range(0, batch.num_rows, 256):
                 out = []
                 for begin, end in zip(offsets[lo:lo + 256], offsets[lo + 1:lo + 257]):
-                    part = data[begin:end]
-                    sims = part @ part.T
-                    nearer = sims > least[begin:end, None]
-                    np.fill_diagonal(nearer, False)
-                    left, right = np.nonzero(nearer)
-                    out.append((nodes[begin + left], nodes[begin + right], sims[left, right]))
+                    part, known = data[begin:end], begin + np.flatnonzero(~new[begin:end])
+                    fresh = begin + np.flatnonzero(new[begin:end])
+                    sims = data[fresh] @ part.T
+                    sims[np.arange(len(fresh)), fresh - begin] = -np.inf
+                    left, right = np.nonzero(sims > least[fresh, None])
+                    out.append((nodes[fresh[left]], nodes[begin + right], sims[left, right]))
+                    back = sims[:, known - begin]
+                    left, right = np.nonzero(back > least[known])
+                    out.append((nodes[known[right]], nodes[fresh[left]], back[left, right]))
                 node, other, sim = (np.concatenate(c) for c in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(other), pa.array(sim)],
                                                  ["node", "other", "sim"])
 
     found = gathered.select("pool").mapInArrow(joined, "node long, other long, sim float")
-    return _best(graph.union(found), "node", "other", degree)
+    return _best(graph.select("node", "other", "sim").union(found), "node", "other", degree)
 
 
 def neighbour_graph(vectors: DataFrame, size: int, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF,
                     seed: int = 11, changed_share: float = CHANGED) -> DataFrame:
-    """Links (node, other, sim) of the (node, single) vectors of `size` components.
+    """Links (node, other, sim, place) of the (node, single) vectors of `size` components.
 
-    The descent ends when at most `changed_share` of the pools have changed in a round, with 0 when none has. A pool that
-    has not changed is not compared again: all its pairs have been offered, and the worst neighbour of a vector only gets
-    nearer.
+    The descent ends when at most `changed_share` of the pools have gained a member in a round, with 0 when none has.
+    Pairs of members that stood in the pool before are not compared again: they have been offered, and the worst
+    neighbour of a vector only gets nearer.
     """
     count = vectors.count()
     graph = written_once(_tree_links(vectors, count, size, degree, trees, leaf, seed), "graph")
-    compared = None
+    before = vectors.sparkSession.createDataFrame([], "centre long, seen array<long>")
     while True:
-        pools = written_once(_pools(graph, vectors), "pools")
-        changed = pools if compared is None else pools.join(compared, ["centre", "mark"], "left_anti")
+        fresh = F.array_except("members", F.coalesce("seen", F.array().cast("array<long>")))
+        pools = written_once(_pools(graph, vectors).join(before, "centre", "left").select(
+            "centre", "members", fresh.alias("fresh")), "pools")
+        changed = pools.filter(F.size("fresh") > 0)
         if changed.count() <= changed_share * count:
             return graph
         graph = written_once(_descend(graph, changed, vectors, degree), "graph")
-        compared = pools.select("centre", "mark")
+        before = pools.select("centre", F.col("members").alias("seen"))
 
 
 def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) -> DataFrame:
     """Greedy search: links (node, other, sim) of the query nodes, from their own neighbours outwards.
 
-    Each round looks up the neighbours of the nearest vectors not looked up yet, EXPANDED of them for each query,
-    and keeps the `beam` nearest by the inner product in double precision; it ends when no query has any left.
+    Each round looks up the neighbours of all vectors kept and not looked up yet, and keeps the `beam` nearest by the
+    inner product in double precision; it ends when no query has any left.
     """
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,25 +226,15 @@ def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int) -
         )
 
     state = written_once(measured(graph.join(queries, "node", "left_semi").select("node", "other")), "search")
-    while True:
-        fresh = state.filter(~F.col("done"))
-        order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
-        picked = written_once(
-            fresh.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= EXPANDED)
-            .select("node", "other"), "search-picked")
-        if not picked.limit(1).count():
-            break
+    while not state.filter(~F.col("done")).isEmpty():
         reached = (
-            picked.join(graph.select(F.col("node").alias("other"), F.col("other").alias("next")), "other")
+            state.filter(~F.col("done")).select("node", "other")
+            .join(graph.select(F.col("node").alias("other"), F.col("other").alias("next")), "other")
             .select("node", F.col("next").alias("other")).filter("node != other").distinct()
             .join(state, ["node", "other"], "left_anti")
         )
-        sims = measured(reached)
-        marked = state.join(picked.withColumn("_now", F.lit(True)), ["node", "other"], "left").select(
-            "node", "other", "sim", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"))
-        state = written_once(
-            marked.union(sims.select("node", "other", "sim", "done"))
-            .withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= beam).drop("_rank"), "search")
+        kept = state.withColumn("done", F.lit(True)).union(measured(reached))
+        state = written_once(_nearest(kept, "node", "other", beam).drop("place"), "search")
     return state.select("node", "other")
 
 
