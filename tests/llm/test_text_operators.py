@@ -143,15 +143,19 @@ def phrases(text, sample):
     return count
 
 
+def text_of(code):
+    return "".join(map(chr, code.tolist()))
+
+
 def test_phrase_counts_against_brute_force():
     rng = random.Random(1)
-    symbols = language.Symbols("abc")
+    symbols = language.Symbols()
     sample = "".join(rng.choice("abc ") for _ in range(400))
     table = language.suffix_automaton(symbols.of(sample))
-    texts = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(0, 250))) for _ in range(60)]
+    texts = ["".join(rng.choice("abcdж ") for _ in range(rng.randrange(0, 250))) for _ in range(60)]
     codes = [symbols.of(t) for t in texts]
-    coded = bytes(symbols.of(sample))
-    assert language.phrase_counts(codes, table).tolist() == [phrases(bytes(c), coded) for c in codes]
+    coded = text_of(symbols.of(sample))
+    assert language.phrase_counts(codes, table).tolist() == [phrases(text_of(c), coded) for c in codes]
 
 
 def test_languages_of_held_out_documents(spark):
@@ -176,6 +180,41 @@ def test_languages_of_odd_rows(spark, odd, docs):
     assert kept.columns == odd.columns and {r.lang_pred for r in kept.collect()} == {"clash"}
 
 
+#: letters of six scripts, of which words are made; the fixed values only have to differ between scripts
+SCRIPTS = {"latin": (0x61, 26), "cyrillic": (0x430, 32), "greek": (0x3B1, 24), "georgian": (0x10D0, 33),
+           "hebrew": (0x5D0, 27), "han": (0x4E00, 3000)}
+
+
+def words_in(script, rng, count, known):
+    """Words of a vocabulary of 150 made by the script's own generator, the frequent ones first."""
+    first, letters = SCRIPTS[script]
+    own = random.Random(script)
+    words = ["".join(chr(first + own.randrange(letters)) for _ in range(own.randrange(2, 8))) for _ in range(150)]
+    return " ".join(words[min(int(rng.expovariate(0.03)), known - 1)] for _ in range(count))
+
+
+def test_scripts_are_told_apart_and_others_rejected(spark):
+    rng = random.Random(5)
+    learned = [s for s in SCRIPTS if s != "georgian"]
+    rows = [(n, words_in(s, rng, 300, 150), s) for s in learned for n in range(30)]
+    # a label of one document, and one that stands on very long documents only
+    rows += [(900, words_in("georgian", rng, 250, 150).upper().lower(), "rare"),
+             (901, " ".join(["bdf", "gkm", "ztr", "pvw"][rng.randrange(4)] for _ in range(20_000)), "long")]
+    samples = language.learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(samples) == {*learned, "rare", "long"} and 1_000 < len(samples["long"]) <= language.PIECE + 1
+    texts = [(s, words_in(s, rng, 80, 150)) for s in [*learned, "georgian"] for _ in range(6)]
+    texts += [("long", "ztr bdf pvw gkm " * 30)]
+    strange = [("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + " " * (rng.random() < 0.2) for _ in range(900))),
+               "".join(chr(0xF40 + rng.randrange(40)) + " " * (rng.random() < 0.2) for _ in range(900))]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], EMPTY)
+    found = {r.doc_id: r for r in language.identify_languages(frame, samples).collect()}
+    expected = ["rare" if s == "georgian" else s for s, _ in texts]
+    assert [found[i].lang_pred for i in range(len(texts))] == expected
+    assert all(found[i].explained for i, name in enumerate(expected))
+    odd = spark.createDataFrame(list(enumerate(strange)), EMPTY)
+    assert language.in_known_language(odd, samples).count() == 0
+
+
 # --- n-gram join ---
 
 def words_of(text):
@@ -359,8 +398,8 @@ def test_long_pieces_are_not_remembered(tokenizer):
 
 def test_phrases_are_counted_alike_in_any_slices(monkeypatch):
     rng = np.random.default_rng(1)
-    table = language.suffix_automaton(rng.integers(0, 9, 500).astype(np.uint8))
-    codes = [rng.integers(0, 12, n).astype(np.uint8) for n in (0, 1, 255, 256, 257, 3000, 0, 9)]
+    table = language.suffix_automaton(rng.integers(0, 9, 500).astype(np.int32))
+    codes = [rng.integers(0, 12, n).astype(np.int32) for n in (0, 1, 255, 256, 257, 3000, 0, 9)]
     whole = language.phrase_counts(codes, table).tolist()
     monkeypatch.setattr(language, "LANES", 3)
     assert language.phrase_counts(codes, table).tolist() == whole
