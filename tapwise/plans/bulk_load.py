@@ -2,7 +2,8 @@
 
 from pyspark.sql import SparkSession
 
-from tapwise.operators.transactions import enrich_transactions, normalize_transactions, with_age
+from tapwise.operators.lookup import joins_by_key, measured
+from tapwise.operators.transactions import customer_places, enrich_transactions, normalize_transactions, with_age
 from tapwise.sources.files import read_customers, read_labelled_transactions
 from tapwise.sources.tables import CardTables
 
@@ -12,7 +13,8 @@ def bulk_load(spark: SparkSession, customers_csv: str, transactions_csv: str, ta
     """Load customers and labelled transactions; each table is filled in one write pass."""
     customers = read_customers(spark, customers_csv)
     raw = read_labelled_transactions(spark, transactions_csv)
-    enriched = enrich_transactions(normalize_transactions(raw), customers, as_of, zone)
+    places = measured(customer_places(customers))
+    enriched = enrich_transactions(normalize_transactions(raw), places, as_of, zone)
     tables.create()
     tables.write_customers(with_age(customers, as_of, zone), load_id, mode)
-    tables.write_transactions(enriched, load_id, mode)
+    tables.write_transactions(enriched, load_id, mode, by_card=joins_by_key(places))
