@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tapwise.operators.keyed import latest_stored
+from tapwise.operators.keyed import latest_complete
 from tapwise.operators.lookup import lookup_join
 from tapwise.schemas import TRANSACTION_KEY
 from tapwise.sources.folders import written_once
@@ -99,7 +99,7 @@ class CardBuckets:
         Reads and rewrites the buckets of the load's cards only. Cards that grow beyond `hot_rows` move over.
         """
         rows = load.select(*self.columns).filter(F.col(CARD).isNotNull() & F.col(TIME).isNotNull())
-        rows = latest_stored(written_once(rows, "bucket-load"), TRANSACTION_KEY, self.newest_first)
+        rows = written_once(latest_complete(rows, TRANSACTION_KEY, self.newest_first), "bucket-load")
         hot = written_once(self._hot_cards(), "hot-cards").withColumn("_hot", F.lit(True))
         marked = lookup_join(rows, hot, CARD, "left")
         ordinary = marked.filter(F.col("_hot").isNull()).drop("_hot")
@@ -134,7 +134,7 @@ class CardBuckets:
     def _over(self, stored: DataFrame, rows: DataFrame, *extra: str) -> DataFrame:
         order = [F.desc("_new"), *[F.desc(c) for c in self.newest_first]]
         both = stored.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
-        return latest_stored(both, TRANSACTION_KEY, order).select(*self.columns, *extra)
+        return latest_complete(both, TRANSACTION_KEY, order).select(*self.columns, *extra)
 
     def _has_hot(self) -> bool:
         return not self.hot.rows().isEmpty()
