@@ -176,3 +176,30 @@ def test_unknown_cards_drop_from_the_stream(spark, tmp_path):
     header = '{"cc_num":"cc_num","trans_num":"trans_num","amt":"amt"}'
     envelope = spark.createDataFrame([(bytearray(header.encode()), 0, 0)], "value binary, partition int, offset bigint")
     assert enrich_stream(decode_messages(envelope), derived.customers(spark, DATA)).count() == 0
+
+
+@pytest.mark.parametrize("limit,by_card", [(0, True), (1 << 30, False)])
+def test_rows_moved_by_card_are_stored_where_they_are(spark, topic, models, tables, tmp_path, monkeypatch, limit, by_card):
+    placed, plain = [], tables.write_transactions
+    monkeypatch.setattr(tables, "write_transactions", lambda df, load, mode="append", by_card=False: placed.append(by_card)
+                        or plain(df, load, mode, by_card))
+    start_live_scoring(
+        read_envelope_files(spark, topic[0]), tables, *models[1], str(tmp_path / "cp"), trigger={"availableNow": True},
+        as_of=queries.AS_OF, broadcast_limit=limit).awaitTermination()
+    assert placed == [by_card]
+    assert rows(tables.transactions()) == expected_rows(spark, models, topic[0])
+
+
+def test_a_sink_takes_rows_by_card_as_they_lie(spark, topic, models, tables, tmp_path):
+    trained, _ = models
+    scored = score_messages(read_envelope_files(spark, topic[0]), tables.customers(), trained.features, trained.forest,
+                            as_of=queries.AS_OF, broadcast_limit=0)
+    write_to_tables(scored, tables, "by_card", str(tmp_path / "cp"), by_card=True, availableNow=True).awaitTermination()
+    assert rows(tables.transactions()) == expected_rows(spark, models, topic[0])
+
+
+def test_the_two_sinks_read_messages_that_are_made_once(spark, tmp_path, monkeypatch):
+    made, plain = [], derived._envelopes
+    monkeypatch.setattr(derived, "_envelopes", lambda lines, *a: made.append(lines.isStreaming) or plain(lines, *a))
+    queries.stream_split_rule(spark, DATA)
+    assert made == [False]
