@@ -341,8 +341,8 @@ def stored_customers(spark, folder):
 def stream_enrich(spark, folder):
     """The live enrichment as a stream run to the end of its input."""
     path = run_folder(spark, "stream-enrich")
-    enriched = enrich_stream(
-        decode_messages(derived.envelope_stream(spark, folder)), derived.customers(spark, folder), AS_OF)
+    messages = read_envelope_files(spark, derived.envelope_topic(spark, folder))
+    enriched = enrich_stream(decode_messages(messages), derived.customers(spark, folder), AS_OF)
     write_to_files(enriched, f"{path}/out", "stream_enrich", f"{path}/checkpoint",
                    availableNow=True).awaitTermination()
     return spark.read.schema(enriched.schema).parquet(f"{path}/out")

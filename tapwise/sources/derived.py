@@ -108,16 +108,8 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     return _envelopes(_lines(spark, folder), spark, folder)
 
 
-def envelope_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same messages as a stream that follows the lineitem files."""
-    schema = _table(spark, folder, "lineitem").schema
-    # written as a pattern, the path may be one file or a folder of files
-    lines = spark.readStream.schema(schema).parquet(f"{folder}/lineitem.parque[t]")
-    return _on_the_wire(_envelopes(lines, spark, folder))
-
-
 def envelope_topic(spark: SparkSession, folder: str) -> str:
-    """The same messages as a folder of files in the shared folder, made once for jobs that read them several times."""
+    """The same messages as a folder of files in the shared folder, made once for all streams and batches of a job."""
     path = run_folder(spark, "topic")
     _on_the_wire(envelopes(spark, folder)).write.parquet(path)
     return path

@@ -198,8 +198,9 @@ def test_a_sink_takes_rows_by_card_as_they_lie(spark, topic, models, tables, tmp
     assert rows(tables.transactions()) == expected_rows(spark, models, topic[0])
 
 
-def test_the_two_sinks_read_messages_that_are_made_once(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("name", ["stream_split_rule", "stream_enrich"])
+def test_streams_read_messages_that_are_made_once(spark, monkeypatch, name):
     made, plain = [], derived._envelopes
     monkeypatch.setattr(derived, "_envelopes", lambda lines, *a: made.append(lines.isStreaming) or plain(lines, *a))
-    queries.stream_split_rule(spark, DATA)
+    queries.QUERIES[name](spark, DATA)
     assert made == [False]
