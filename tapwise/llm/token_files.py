@@ -93,8 +93,8 @@ def write_token_files(documents: DataFrame, folder: str, tokenizer: str, end_id:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packed = with_end(known.encode(text.as_py()), known.type, end_id)
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), known.encode_all(batch.column(1))):
+                packed = with_end(encoded, known.type, end_id)
                 frames.append(compressor.compress(packed))
                 size += len(frames[-1])
                 ids.append(doc_id)

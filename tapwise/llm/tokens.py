@@ -2,20 +2,30 @@
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 MEMORY_PIECES = 600_000
 LONGEST_PIECE = 64  # characters of a piece that is remembered, so that the memory has a bound in bytes too
+SLICE_BYTES = 8 << 20  # text that is split and looked up in one go
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # fixed values: the Unicode white space that tokenizers cut at; Python's own has four control characters more
 _SPACE = "\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SIGNS = "!-/:-@\\[-`{-~"  # ASCII without controls, white space, digits and letters
 _pieces = re.compile(
-    rf" ?[{_LETTERS}]+(?![^{_SPACE}.,])|\n(?=[^{_SPACE}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
+    rf" ?(?:[{_LETTERS}]++|[0-9]++)(?=[\0-\x7f]|\Z)"
+    rf"|(?!') ?[{_SIGNS}]++(?=[\t-\r 0-9A-Za-z]|\Z)"
+    rf"|\n(?=[^{_SPACE}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+").findall
 _one_word = re.compile(rf" ?[{_LETTERS}]+|[.,]+").fullmatch
-_PROBE = "A sonda, été.\nZwei  Wörter\n\n 12,5!"
+# a space or newline amid white space, or behind some at the end: only there no cut may be made before it
+_INNER_SPACE = rf"[{_SPACE}][ \n](?:[{_SPACE}]|\z)"
+_CUT = "\x1e"  # opens a word that has no space before it; texts that hold it are not cut this way
+_PROBE = "A sonda, été.\nZwei  Wörter\n\n 12,5! f(x)='it's' 2nd+x27 (a)"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -28,9 +38,9 @@ def _byte_letters() -> dict[int, str]:
 class PieceEncoder(dict):
     """Encodes texts piece by piece; the dict holds the packed ids of pieces met before.
 
-    A byte-level tokenizer never joins a word to the white space behind it, nor a letter to the stop or comma
-    behind it, so a text may be cut there and the pieces encoded apart. Words repeat, so at most `memory` pieces
-    of LONGEST_PIECE characters or less are remembered. Null is the empty text.
+    A byte-level tokenizer never joins a word to the white space behind it, nor letters, digits and signs of ASCII
+    to one another but for an apostrophe before letters, so a text may be cut there and the pieces encoded apart.
+    Words repeat, so at most `memory` pieces of LONGEST_PIECE characters or less are remembered. Null is the empty text.
 
     With `added_tokens` the ids are those of the tokenizer as it is loaded: the text of an added token, such as
     <|endoftext|>, is that token, and texts that hold one are encoded whole. Without, it is ordinary text.
@@ -43,7 +53,8 @@ class PieceEncoder(dict):
         self.tokenizer.encode_special_tokens = not added_tokens
         self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.type = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memory, self._letters = memory, _byte_letters()
+        self.memory, self._letters, self._tokenize = memory, _byte_letters(), self.tokenizer.model.tokenize
+        self._ids = [self._packed([i]) for i in range(self.tokenizer.get_vocab_size())]
         if self.encode(_PROBE) != self._whole(_PROBE):
             raise ValueError(f"{path} is no byte-level tokenizer whose words may be encoded apart")
 
@@ -55,8 +66,11 @@ class PieceEncoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if _one_word(piece):  # a single unit of the vocabulary: nothing is left to cut
-            letters = piece.encode().decode("latin-1").translate(self._letters)
-            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+            plain = piece.isascii()
+            letters = piece.replace(" ", "\u0120") if plain else piece.encode().decode("latin-1").translate(self._letters)
+            ids = b"".join([self._ids[t.id] for t in self._tokenize(letters)])
+        elif len(parts := _pieces(piece)) > 1:
+            ids = b"".join(map(self.__getitem__, parts))
         else:
             ids = self._whole(piece)
         if len(piece) <= LONGEST_PIECE:
@@ -73,6 +87,38 @@ class PieceEncoder(dict):
             return self._whole(text)
         return b"".join(map(self.__getitem__, _pieces(text)))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, as `encode` gives them, at a lower cost: SLICE_BYTES of text or one text at a time."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        begin, done = 0, 0
+        while begin < len(texts):
+            end = max(begin + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            yield from self._encode_slice(pc.fill_null(texts[begin:end], ""))
+            begin, done = end, ends[end - 1]
+
+    def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
+        """Texts are cut before spaces, newlines and signs, and each word is looked up once; others go one by one."""
+        alone = pc.match_substring_regex(texts, _INNER_SPACE)
+        for token in [_CUT, *self._added]:
+            alone = pc.or_(alone, pc.match_substring(texts, token))
+        marked = pc.replace_substring(pc.if_else(alone, "", texts), "\n", f" {_CUT}\n")
+        marked = pc.replace_substring_regex(marked, f"([{_LETTERS}0-9])([{_SIGNS}])", rf"\1 {_CUT}\2")
+        words = pc.split_pattern(marked, " ")
+        bounds, words = words.offsets.to_numpy(), words.values
+        leads = np.zeros(len(words), bool)  # the words that open a text, which have no space before them
+        leads[bounds[:-1]] = True
+        others = pc.if_else(pa.array(leads), None, words).dictionary_encode()
+        known = [self[w[1:] if w[:1] == _CUT else f" {w}"] for w in others.dictionary.to_numpy(False).tolist()]
+        first = [self.encode(w) for w in words.filter(pa.array(leads)).to_pylist()]
+        spots = others.indices.fill_null(0).to_numpy().astype(np.int64)
+        spots[bounds[:-1]] = np.arange(len(known), len(known) + len(first))
+        ids = pa.array(known + first, pa.large_binary()).take(pa.array(spots))
+        _, offsets, packed = ids.buffers()
+        cuts = np.frombuffer(offsets, np.int64)[bounds].tolist()
+        packed = memoryview(packed or b"")
+        for begin, end, text, apart in zip(cuts, cuts[1:], texts, alone.to_pylist()):
+            yield self.encode(text.as_py()) if apart else bytes(packed[begin:end])
+
 
 _encoders: dict[str, PieceEncoder] = {}
 

@@ -7,10 +7,11 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tapwise.llm import decontaminate, language, line_templates, ngram_join, packing, quality, shingles, token_files
+from tapwise.llm import decontaminate, language, line_templates, ngram_join, packing, quality, shingles, token_files, tokens
 from tapwise.llm.keys import with_key
 from tapwise.llm.queries import QUERIES, held_out, tokenizer_path
 from tapwise.llm.tokens import PieceEncoder, encoder
@@ -68,6 +69,23 @@ def test_added_tokens_are_encoded_as_the_loaded_tokenizer_does():
         assert ids == ids_of(untouched, text), text
 
 
+def test_texts_are_encoded_together_as_one_by_one(monkeypatch):
+    """Any mix of white space, signs, digits and added tokens, in slices of a few bytes and after the memory was emptied."""
+    rng = random.Random(5)
+    untouched = Tokenizer.from_file(tokenizer_path())
+    parts = [" ", "  ", "   ", "\n", "\n\n", " \n", "\t", "\x1c", "\x1e", "\xa0", "\u3000", ".", ",", "...", "'", "'s", "'ll", "%%", "(", ")",
+             "a", "It", "word", "\u00e9t\u00e9", "\u4e2d", "e\u0301", "\u00b2", "7", "2024", "\x00", "\U0001f600", "<|endoftext|>"]
+    texts = [None, "", " ", "  ", "\n", "\n\n", "a  ", "  a", "a \n", "a\n\n\n b", "x" * 500 + " y", "it's 12,5.a .b", "\x1e", " \x1e\n"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    known = PieceEncoder(tokenizer_path(), memory=50, added_tokens=True)
+    expected = [untouched.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (1, 64, 1 << 20):
+        monkeypatch.setattr(tokens, "SLICE_BYTES", size)
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in known.encode_all(pa.array(texts, pa.string()))] == expected
+    assert [*known.encode_all(pa.array(["of another batch", "of this"])[1:])] == [known.encode("of this")]
+    assert [*known.encode_all(pa.array([], pa.string()))] == []
+
+
 def test_token_file_query(spark, docs, tokenizer):
     rows = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, DATA).collect()}
     start = 0
