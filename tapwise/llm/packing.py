@@ -78,7 +78,7 @@ def pack_along_curve(documents: DataFrame, tokenizer: str, sequence_tokens: int
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, row = encoder(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
-            packed = [with_end(known.encode(t.as_py()), known.type, end_id) for t in batch.column("text")]
+            packed = [with_end(ids, known.type, end_id) for ids in known.encode_all(batch.column("text"))]
             arrays = [np.frombuffer(p, known.type) for p in packed]
             cells = np.array([document_cell(a, projection) for a in arrays]).reshape(-1, DIMENSIONS)
             yield pa.RecordBatch.from_arrays([

@@ -86,6 +86,18 @@ def test_texts_are_encoded_together_as_one_by_one(monkeypatch):
     assert [*known.encode_all(pa.array([], pa.string()))] == []
 
 
+def test_words_of_a_batch_are_looked_up_once(monkeypatch):
+    """The cost of words goes by distinct ones: neither white space around a word nor signs behind it make it another."""
+    asked = []
+    monkeypatch.setattr(PieceEncoder, "__getitem__", lambda self, piece: asked.append(piece) or dict.__getitem__(self, piece),
+                        raising=False)
+    known = encoder(tokenizer_path())
+    asked.clear()
+    texts = [f"start one two, one two. one (two) {'one two; ' * 50}one\none\ntwo" for _ in range(200)]
+    assert len([*known.encode_all(pa.array(texts))]) == 200
+    assert len(asked) < 5 * len(texts)
+
+
 def test_token_file_query(spark, docs, tokenizer):
     rows = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, DATA).collect()}
     start = 0
