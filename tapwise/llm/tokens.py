@@ -24,7 +24,7 @@ _pieces = re.compile(
 _one_word = re.compile(rf" ?[{_LETTERS}]+|[.,]+").fullmatch
 # a space or newline amid white space, or behind some at the end: only there no cut may be made before it
 _INNER_SPACE = rf"[{_SPACE}][ \n](?:[{_SPACE}]|\z)"
-_CUT = "\x1e"  # opens a word that has no space before it; texts that hold it are not cut this way
+_CUT = "\x1e"  # marks the cuts; texts that hold it are not cut this way
 _PROBE = "A sonda, été.\nZwei  Wörter\n\n 12,5! f(x)='it's' 2nd+x27 (a)"
 
 
@@ -98,22 +98,23 @@ class PieceEncoder(dict):
 
     def _encode_slice(self, texts: pa.Array) -> Iterator[bytes]:
         """Texts are cut before spaces, newlines and signs, and each word is looked up once; others go one by one."""
-        alone = pc.match_substring_regex(texts, _INNER_SPACE)
-        for token in [_CUT, *self._added]:
+        alone = pc.match_substring(texts, _CUT)
+        for token in self._added:
             alone = pc.or_(alone, pc.match_substring(texts, token))
-        marked = pc.replace_substring(pc.if_else(alone, "", texts), "\n", f" {_CUT}\n")
-        marked = pc.replace_substring_regex(marked, f"([{_LETTERS}0-9])([{_SIGNS}])", rf"\1 {_CUT}\2")
-        words = pc.split_pattern(marked, " ")
-        bounds, words = words.offsets.to_numpy(), words.values
-        leads = np.zeros(len(words), bool)  # the words that open a text, which have no space before them
-        leads[bounds[:-1]] = True
-        others = pc.if_else(pa.array(leads), None, words).dictionary_encode()
-        known = [self[w[1:] if w[:1] == _CUT else f" {w}"] for w in others.dictionary.to_numpy(False).tolist()]
-        first = [self.encode(w) for w in words.filter(pa.array(leads)).to_pylist()]
-        spots = others.indices.fill_null(0).to_numpy().astype(np.int64)
-        spots[bounds[:-1]] = np.arange(len(known), len(known) + len(first))
-        ids = pa.array(known + first, pa.large_binary()).take(pa.array(spots))
-        _, offsets, packed = ids.buffers()
+        cut = pc.if_else(alone, "", texts)
+        runs = pc.match_substring_regex(cut, _INNER_SPACE)
+        plain, spread = pc.if_else(runs, "", cut), pc.if_else(runs, cut, "")
+        for space in " \n":
+            plain = pc.replace_substring(plain, space, _CUT + space)
+        # of a run of white space the first is cut from the word before, and the last goes with the word behind
+        for where in (f"([^{_SPACE}])([ \n])", f"([{_SPACE}])([ \n][^{_SPACE}])"):
+            spread = pc.replace_substring_regex(spread, where, rf"\1{_CUT}\2")
+        marked = pc.replace_substring_regex(
+            pc.if_else(runs, spread, plain), f"([{_LETTERS}0-9])([{_SIGNS}])", rf"\1{_CUT}\2")
+        words = pc.split_pattern(marked, _CUT)
+        bounds, words = words.offsets.to_numpy(), words.values.dictionary_encode()
+        known = [self[w] for w in words.dictionary.to_numpy(False).tolist()]
+        _, offsets, packed = pa.array(known, pa.large_binary()).take(words.indices).buffers()
         cuts = np.frombuffer(offsets, np.int64)[bounds].tolist()
         packed = memoryview(packed or b"")
         for begin, end, text, apart in zip(cuts, cuts[1:], texts, alone.to_pylist()):
