@@ -111,3 +111,41 @@ def test_runs_with_few_candidates_are_not_divided(monkeypatch):
     assert len(calls) < len(points) / kmeans.BOX / 4
     some = rng.choice(len(points), 500)
     assert (index[some] == ((points[some, None] - centres) ** 2).sum(2).argmin(1)).all()
+
+
+def test_a_run_of_points_looks_only_at_blocks_of_centres_near_it(monkeypatch):
+    rng = np.random.default_rng(9)
+    centres = rng.random((20_000, 3))
+    points = rng.random((40_000, 3)) * 0.1
+    points = points[kmeans._curve_order(points)]
+    looked, plain = [], kmeans._candidates
+    monkeypatch.setattr(kmeans, "_candidates", lambda low, high, some: looked.append(len(some)) or plain(low, high, some))
+    index, least = kmeans.nearest_centres(points, centres)
+    assert sum(looked) < len(centres)
+    for at in rng.choice(len(points), 300):
+        squares = ((points[at] - centres) ** 2).sum(1)
+        assert index[at] == squares.argmin() and least[at] == squares.min()
+
+
+def test_rounds_over_packed_points_equal_those_over_single_ones(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.normal(0, 1, (3000, 3)), np.full((5, 3), 2.0), [[1e5, 0.0, 0.0]]])
+    rows = spark.createDataFrame([(p.tolist(),) for p in points], "point array<double>").repartition(5)
+    single, packed = kmeans.weighted_points(rows, "point"), kmeans.packed_points(rows, "point")
+    assert packed.count() < single.count() / 20  # few rows go to Python in a pass
+    start = points[rng.integers(0, len(points), 700)]
+    monkeypatch.setattr(kmeans, "PAIRS", 500)  # lists of boxes are divided
+    for one, other in zip(kmeans.lloyd_round(single, start), kmeans.lloyd_round(packed, start)):
+        assert np.allclose(one, other, rtol=1e-9)
+    at = ((points[:, None] - start) ** 2).sum(2).argmin(1)
+    assert (kmeans.lloyd_round(packed, start)[1] == np.bincount(at, minlength=len(start))).all()
+
+
+def test_start_centres_are_points_and_all_of_few(spark):
+    rng = np.random.default_rng(6)
+    points = rng.normal(0, 1, (500, 2))
+    packed = kmeans.packed_points(spark.createDataFrame([(p.tolist(),) for p in points], "point array<double>"), "point")
+    known = {tuple(p) for p in points}
+    some = kmeans.start_centres(packed, 40)
+    assert len({tuple(c) for c in some}) == 40 and {tuple(c) for c in some} <= known
+    assert {tuple(c) for c in kmeans.start_centres(packed, 500)} == known
