@@ -1,13 +1,16 @@
 """Plans that move and read less: fewer bytes, one reading, no distance that is not needed."""
 
 import datetime
+import pathlib
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tapwise.operators import keyed, kmeans
 from tapwise.sources import derived
+from tapwise.sources.folders import shuffles_dropped
 from tapwise.sources.tables import CardTables
 
 DAY = datetime.datetime(2020, 1, 1)
@@ -149,3 +152,35 @@ def test_start_centres_are_points_and_all_of_few(spark):
     some = kmeans.start_centres(packed, 40)
     assert len({tuple(c) for c in some}) == 40 and {tuple(c) for c in some} <= known
     assert {tuple(c) for c in kmeans.start_centres(packed, 500)} == known
+
+
+def test_streamed_messages_are_packed_and_come_in_bounded_batches(spark, tmp_path, monkeypatch):
+    from conftest import DATA
+    from tapwise.plans import queries
+
+    topics, plain = [], derived.envelope_topic
+
+    def dealt_out(session, folder):
+        path = f"{tmp_path}/topic-{len(topics)}"
+        session.read.parquet(plain(session, folder)).repartition(4).write.parquet(path)
+        topics.append(path)
+        return path
+
+    packed = spark.read.parquet(plain(spark, DATA)).inputFiles()
+    assert packed and all(f.endswith(".zstd.parquet") for f in packed)
+    monkeypatch.setattr(derived, "envelope_topic", dealt_out)
+    monkeypatch.setattr(queries, "BATCH_BYTES", 1)
+    found = queries.stream_enrich(spark, DATA)
+    out = found.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+    batches = [int(p.name) for p in pathlib.Path(out).parent.joinpath("checkpoint", "commits").iterdir() if p.name.isdigit()]
+    assert sorted(batches) == [0, 1, 2, 3]
+    assert found.count() == spark.read.parquet(topics[0]).count()
+
+
+def test_shuffle_files_of_written_jobs_are_dropped(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        raise ValueError
+    assert spark.conf.get(name, None) == before
